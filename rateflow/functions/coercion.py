@@ -12,16 +12,14 @@ MISSING_TOKENS = [
     "nan", "null",
 ]
 
-# First and last whole day of a 64-bit nanosecond timestamp.
-# A date outside counts as unparseable, so one series holds at most 213,502
-# days. Every per-series window and the date dimension rest on that bound.
-FIRST_DAY = "1677-09-22"
-LAST_DAY = "2262-04-11"
+# Years a 64-bit nanosecond timestamp holds in full, 1678 to 2261. A date
+# outside them counts as unparseable, so one series has at most 213,304 days:
+# every per-series window and the date dimension rest on that bound.
+MAX_DAYS = 213_304
 
 _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
-_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_MONTH = r"^\d{4}-\d{1,2}$"
-_YEAR = r"^\d{4}$"
+_YEAR = r"(16(7[89]|[89]\d)|1[7-9]\d\d|2[01]\d\d|22([0-5]\d|6[01]))"
+_ISO_DATE = rf"^{_YEAR}(-\d{{1,2}}){{0,2}}$"
 
 
 def missing_to_null(text: Column) -> Column:
@@ -33,7 +31,7 @@ def nan_to_null(number: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Text to DOUBLE; whatever is not a number becomes NULL.
+    """Text to DOUBLE; whatever is not a number, missing markers too, is NULL.
 
     The pattern comes first because a plain cast also takes ``1.5d`` and
     ``NaN``.
@@ -42,18 +40,11 @@ def to_number(text: Column) -> Column:
     return F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
 
 
-def date_layout(text: Column) -> Column:
-    """``day``, ``month`` or ``year`` for an ISO date text, else NULL."""
-    return (
-        F.when(text.rlike(_DAY), "day")
-        .when(text.rlike(_MONTH), "month")
-        .when(text.rlike(_YEAR), "year")
-    )
-
-
 def to_day(text: Column) -> Column:
     """ISO date text to DATE (months and years start on day one), else NULL."""
-    day = F.when(date_layout(text).isNotNull(), text.try_cast("date"))
-    return F.when(
-        day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day
-    )
+    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
+
+
+def date_parts(text: Column) -> Column:
+    """How many parts a date text has: 3 for a day, 2 for a month, 1 for a year."""
+    return F.size(F.split(text, "-"))

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.functions.coercion import date_layout, missing_to_null, to_day, to_number
+from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
 from rateflow.operators.dedupe import keep_last
 
 OBSERVATION_KEY = ["series_file", "series_id", "date"]
+_BAD = 1  # the other bits, 2 to 8, stand for one to three date parts
 
 
 def typed_observations(raw: DataFrame) -> DataFrame:
-    """Texts coerced; a bad value is NULL, a bad date NULL too (see below)."""
+    """Texts coerced; a bad value is NULL, and so is a bad date (see below)."""
     return raw.select(
         "series_file",
         missing_to_null(F.col("series_id")).alias("series_id"),
-        to_day(missing_to_null(F.col("date"))).alias("date"),
-        to_number(missing_to_null(F.col("value"))).alias("value"),
+        to_day(F.col("date")).alias("date"),
+        to_number(F.col("value")).alias("value"),
         "position",
     )
 
@@ -26,23 +27,21 @@ def rejected_files(raw: DataFrame) -> DataFrame:
     """``(series_file, reason)``: one unparseable date rejects its whole file.
 
     A missing date does not, but mixing days, months or years does: the first
-    date of a file sets the layout of the rest. The aggregate combines on the
-    map side, so what is shuffled is a row per file and task.
+    date of a file sets the layout of the rest. What a file contains is or-ed
+    into one integer, so the aggregate hashes and combines on the map side, and
+    a row per file and task is all that is shuffled.
     """
     text = missing_to_null(F.col("date"))
-    layout = date_layout(text)
-    bad = text.isNotNull() & to_day(text).isNull()
+    layout = F.call_function("shiftleft", F.lit(1), date_parts(text))
+    seen = F.when(text.isNotNull(), F.when(to_day(text).isNull(), _BAD).otherwise(layout))
+    layouts = F.col("seen").bitwiseAND(~_BAD)
     return (
         raw.groupBy("series_file")
-        .agg(
-            F.max(bad).alias("bad"),
-            F.min(layout).alias("low"),
-            F.max(layout).alias("high"),
-        )
+        .agg(F.bit_or(seen).alias("seen"))
         .select(
             "series_file",
-            F.when(F.col("bad"), "bad_date")
-            .when(F.col("low") != F.col("high"), "mixed_date_layouts")
+            F.when(F.col("seen").bitwiseAND(_BAD) != 0, "bad_date")
+            .when(F.bit_count(layouts) > 1, "mixed_date_layouts")
             .alias("reason"),
         )
         .where(F.col("reason").isNotNull())
@@ -57,12 +56,7 @@ def parse_observations(raw: DataFrame) -> DataFrame:
 
 
 def clean_observations(raw: DataFrame) -> DataFrame:
-    """Complete rows of the sound files, the last copy of each key kept.
-
-    Deduplication goes first: it combines on the map side, and by the time the
-    rejected files are taken out AQE knows their number and broadcasts them, or
-    splits the larger side by file where they are too many.
-    """
+    """Complete rows of the sound files, the last copy of each key kept."""
     return _without_rejected(deduplicated(typed_observations(raw)), raw)
 
 
@@ -72,4 +66,16 @@ def deduplicated(observations: DataFrame) -> DataFrame:
 
 
 def _without_rejected(rows: DataFrame, raw: DataFrame) -> DataFrame:
-    return rows.join(rejected_files(raw).select("series_file"), "series_file", "left_anti")
+    """Take out the rejected files, after deduplication where there is any.
+
+    An outer join with a filter, not an anti join: the optimizer would move that
+    below the aggregate and join raw rows by file, a heavily skewed key. Above
+    it, both sides come from finished shuffles, so AQE knows how many files are
+    rejected, and broadcasts them or splits the larger side.
+    """
+    rejected = rejected_files(raw).select("series_file", F.lit(True).alias("rejected"))
+    return (
+        rows.join(rejected, "series_file", "left")
+        .where(F.col("rejected").isNull())
+        .drop("rejected")
+    )

@@ -41,10 +41,11 @@ def mart_models(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def build_all(
     spark: SparkSession,
     observations: DataFrame,
+    database: str,
     series_files: DataFrame | None = None,
     buckets: int = 8,
 ) -> None:
-    """Write the star tables, register staging views, write the mart tables.
+    """Write star tables and mart tables to a database; staging stays a view.
 
     ``observations`` should be a scan of written files: five tables read it.
     The market fact is bucketed by series, so staging and marts window it
@@ -52,15 +53,14 @@ def build_all(
     """
     for name, table in star_schema(observations, series_files).items():
         if name == "fact_market_rates":
-            save_bucketed(table, name, buckets, "series_key", "date_key")
+            save_bucketed(table, f"{database}.{name}", buckets, "series_key", "date_key")
         else:
-            save_table(table, name)
-    star = {name: spark.table(name) for name in STAR_TABLES}
-    staged = staging_models(star)
+            save_table(table, f"{database}.{name}")
+    staged = staging_models({name: spark.table(f"{database}.{name}") for name in STAR_TABLES})
     for name, view in staged.items():
         view.createOrReplaceTempView(name)
     for name, mart in mart_models(staged).items():
-        save_table(mart, name)
+        save_table(mart, f"{database}.{name}")
 
 
 def data_tests(models: dict[str, DataFrame]) -> DataFrame:

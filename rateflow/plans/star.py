@@ -23,7 +23,7 @@ def derivative_observations(observations: DataFrame) -> DataFrame:
 
 
 def dim_date(observations: DataFrame) -> DataFrame:
-    """One row per day seen in any series: at most 213,502 by the day bound."""
+    """One row per day seen in any series: a bounded number, see ``MAX_DAYS``."""
     day = F.col("full_date")
     return (
         observations.select(F.col("date").alias("full_date"))

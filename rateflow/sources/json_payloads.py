@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.functions.coercion import date_layout, missing_to_null, to_day, to_number
+from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
 from rateflow.sources.raw_csv import file_stem
 
 PAYLOAD_SCHEMA = "observations ARRAY<STRUCT<date: STRING, value: STRING>>"
@@ -27,8 +27,8 @@ def json_observations(payloads: DataFrame) -> DataFrame:
         .select(
             "series_file",
             F.col("series_file").alias("series_id"),
-            to_day(missing_to_null(F.col("o.date"))).alias("date"),
-            to_number(missing_to_null(F.col("o.value"))).alias("value"),
+            to_day(F.col("o.date")).alias("date"),
+            to_number(F.col("o.value")).alias("value"),
             F.col("position").cast("bigint").alias("position"),
         )
         .where(F.col("value").isNotNull())
@@ -49,7 +49,7 @@ def _parsed(payloads: DataFrame) -> DataFrame:
     dates = F.filter(
         F.transform("observations", lambda o: missing_to_null(o["date"])), _present
     )
-    layouts = F.array_distinct(F.transform(dates, date_layout))
+    layouts = F.array_distinct(F.transform(dates, date_parts))
     return parsed.withColumn(
         "reason",
         F.when(F.coalesce(F.size("observations"), F.lit(0)) <= 0, "no_observations")

@@ -215,7 +215,7 @@ def _data_tests() -> str:
 
 QUERIES: dict[str, str] = {
     "coerce_numbers": "SELECT position, value FROM typed",
-    "coerce_dates": "SELECT position, CASE WHEN kind IN ('day', 'month') THEN kind END AS layout, date FROM typed",
+    "coerce_dates": "SELECT position, CAST(CASE kind WHEN 'day' THEN 3 WHEN 'month' THEN 2 WHEN 'bad' THEN 3 END AS INTEGER) AS parts, date FROM typed",
     "parse_observations": "SELECT position, series_id AS series_file, series_id, date, value FROM sound WHERE value IS NOT NULL",
     "clean_keep_last": "SELECT * FROM cleaned",
     "quarantine_bad_files": "SELECT * FROM rejects",

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
 from rateflow.catalog import DERIVATIVE_DATASETS
 from rateflow.functions.calendar import is_period_label, period_to_date
-from rateflow.functions.coercion import date_layout, missing_to_null, to_day, to_number
+from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
 from rateflow.operators.quality import validate_series
 from rateflow.operators.windows import add_changes, full_window, over_history, simple_return
 from rateflow.plans import clean, marts, pipeline, reports, star
@@ -36,32 +38,46 @@ def _plain_zero(value: Column) -> Column:
     return F.when(value == 0, F.lit(0.0)).otherwise(value)
 
 
+def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` from a written table, for what several later plans read.
+
+    The given tables are then scanned once, however many dimensions, marts and
+    passes a report needs; a lost executor costs a re-read, not a re-run.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(spark, views.market_observations(spark, sf_dir), "market")
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star.star_schema(views.all_observations(spark, sf_dir))
+    """The star over market series only: what staging and marts are built on."""
+    return star.star_schema(market(spark, sf_dir))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return pipeline.staging_models(star_tables(spark, sf_dir))
 
 
-def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pipeline.mart_models(staged(spark, sf_dir))[name]
+def mart_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """The named marts, written: reports read them, some several times."""
+    models = pipeline.mart_models(staged(spark, sf_dir))
+    return [written(spark, models[name], name) for name in names]
 
 
-def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart(spark, sf_dir, "fx_analytics_mart")
-
-
-def curve_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart(spark, sf_dir, "yield_curve_mart")
+FX, CURVE, DIFFERENTIAL = "fx_analytics_mart", "yield_curve_mart", "rate_differential_mart"
 
 
-def differential_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart(spark, sf_dir, "rate_differential_mart")
+def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not written: its readers here go over it once, in the same sort."""
+    return marts.fx_analytics_mart(staged(spark, sf_dir)["stg_fx_rates"])
 
 
 def joined_rate_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.rate_fx(differential_mart(spark, sf_dir), fx_mart(spark, sf_dir))
+    return reports.rate_fx(*mart_tables(spark, sf_dir, DIFFERENTIAL, FX))
 
 
 # "Today" of the five-year report: the given tables end in 2001.
@@ -74,14 +90,14 @@ AS_OF = "2001-12-31"
 @query
 def coerce_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = views.raw_observations(spark, sf_dir)
-    return raw.select("position", to_number(missing_to_null(F.col("value"))).alias("value"))
+    return raw.select("position", to_number(F.col("value")).alias("value"))
 
 
 @query
 def coerce_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = views.raw_observations(spark, sf_dir)
     text = missing_to_null(F.col("date"))
-    return raw.select("position", date_layout(text).alias("layout"), to_day(text).alias("date"))
+    return raw.select("position", date_parts(text).alias("parts"), to_day(text).alias("date"))
 
 
 @query
@@ -223,17 +239,17 @@ def period_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_tables(spark, sf_dir)["dim_date"]
+    return star.dim_date(views.all_observations(spark, sf_dir))
 
 
 @query
 def dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_tables(spark, sf_dir)["dim_series"]
+    return star.dim_series(views.market_observations(spark, sf_dir))
 
 
 @query
 def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_tables(spark, sf_dir)["dim_geography"]
+    return star.dim_geography(star.dim_series(views.market_observations(spark, sf_dir)))
 
 
 @query
@@ -243,12 +259,12 @@ def fact_market_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_tables(spark, sf_dir)["fact_derivatives"]
+    return star.fact_derivatives(views.derivative_observations(spark, sf_dir))
 
 
 @query
 def route_market_derivative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observations = views.all_observations(spark, sf_dir)
+    observations = written(spark, views.all_observations(spark, sf_dir), "all")
     routed = star.market_observations(observations).withColumn("route", F.lit("market"))
     other = star.derivative_observations(observations).withColumn("route", F.lit("derivative"))
     return (
@@ -278,23 +294,30 @@ def stg_yield_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mart_fx_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(fx_mart(spark, sf_dir), "rolling_volatility_30d")
+    mart = marts.fx_analytics_mart(staged(spark, sf_dir)["stg_fx_rates"])
+    return rounded(mart, "rolling_volatility_30d")
 
 
 @query
 def mart_yield_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curve_mart(spark, sf_dir)
+    return marts.yield_curve_mart(staged(spark, sf_dir)["stg_yield_curve"])
 
 
 @query
 def mart_rate_differential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return differential_mart(spark, sf_dir)
+    return marts.rate_differential_mart(staged(spark, sf_dir)["stg_interest_rates"])
 
 
 @query
 def data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = staged(spark, sf_dir)
-    return pipeline.data_tests({**models, **pipeline.mart_models(models)})
+    views_by_name = {
+        name: written(spark, view, name) for name, view in staged(spark, sf_dir).items()
+    }
+    marts_by_name = {
+        name: written(spark, mart, name)
+        for name, mart in pipeline.mart_models(views_by_name).items()
+    }
+    return pipeline.data_tests({**views_by_name, **marts_by_name})
 
 
 @query
@@ -302,16 +325,17 @@ def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch written to catalog tables, then counted from them."""
     path = scratch_path(spark, "observations")
     tables.write_observations(views.all_observations(spark, sf_dir), path)
-    pipeline.build_all(spark, tables.read_observations(spark, path))
-    names = [*pipeline.STAR_TABLES, "fx_analytics_mart", "yield_curve_mart", "rate_differential_mart"]
+    database = f"rateflow_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    pipeline.build_all(spark, tables.read_observations(spark, path), database)
+    names = [*pipeline.STAR_TABLES, FX, CURVE, DIFFERENTIAL]
     counts = [
-        spark.table(name).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(name))
+        spark.table(f"{database}.{name}")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(name).alias("name"), "n")
         for name in names
     ]
-    total = counts[0]
-    for count in counts[1:]:
-        total = total.unionByName(count)
-    return total.select("name", "n")
+    return reduce(DataFrame.unionByName, counts)
 
 
 # Reports
@@ -319,17 +343,20 @@ def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_inversions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.inversion_report(curve_mart(spark, sf_dir))
+    return reports.inversion_report(*mart_tables(spark, sf_dir, CURVE))
 
 
 @query
 def report_inversions_many_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.inversion_report(views.segment_curves(spark, sf_dir), ["curve_id"])
+    curves = written(spark, views.segment_curves(spark, sf_dir), "curves")
+    return reports.inversion_report(curves, ["curve_id"])
 
 
 @query
 def report_longest_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.longest_inversion(reports.inversion_report(curve_mart(spark, sf_dir)))
+    return reports.longest_inversion(
+        reports.inversion_report(*mart_tables(spark, sf_dir, CURVE))
+    )
 
 
 @query
@@ -361,28 +388,26 @@ def rate_fx_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = reports.correlation_report(joined_rate_fx(spark, sf_dir))
+    joined = written(spark, joined_rate_fx(spark, sf_dir), "rate_fx")
+    report = reports.correlation_report(joined)
     return rounded(reports.with_low_sample(report), "correlation")
 
 
 @query
 def rates_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.filled_policy_rates(differential_mart(spark, sf_dir))
+    return reports.filled_policy_rates(*mart_tables(spark, sf_dir, DIFFERENTIAL))
 
 
 @query
 def rate_fx_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.filled_rate_fx(joined_rate_fx(spark, sf_dir))
+    return reports.filled_rate_fx(written(spark, joined_rate_fx(spark, sf_dir), "rate_fx"))
 
 
 @query
 def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         reports.headline(
-            differential_mart(spark, sf_dir),
-            curve_mart(spark, sf_dir),
-            fx_mart(spark, sf_dir),
-            F.lit(AS_OF).cast("date"),
+            *mart_tables(spark, sf_dir, DIFFERENTIAL, CURVE, FX), F.lit(AS_OF).cast("date")
         ),
         "usdbrl_level_correlation",
     )
@@ -393,20 +418,20 @@ def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def named_differential_5y(spark: SparkSession, sf_dir: str) -> DataFrame:
-    differential_mart(spark, sf_dir).createOrReplaceTempView("rate_differential_mart")
+    mart_rate_differential(spark, sf_dir).createOrReplaceTempView(DIFFERENTIAL)
     return BUSINESS_QUERIES.run(spark, "usd_eur_differential_5y", as_of=AS_OF)
 
 
 @query
 def named_volatility_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx_mart(spark, sf_dir).createOrReplaceTempView("fx_analytics_mart")
+    fx_mart(spark, sf_dir).createOrReplaceTempView(FX)
     result = BUSINESS_QUERIES.run(spark, "fx_volatility_eur_usd_vs_usd_brl")
     return rounded(result, "rolling_volatility_30d")
 
 
 @query
 def named_volatility_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx_mart(spark, sf_dir).createOrReplaceTempView("fx_analytics_mart")
+    fx_mart(spark, sf_dir).createOrReplaceTempView(FX)
     result = BUSINESS_QUERIES.run(spark, "fx_volatility_eur_usd_vs_usd_brl_summary")
     return rounded(result, "avg_volatility_30d", "min_volatility_30d", "max_volatility_30d")
 
