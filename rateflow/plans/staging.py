@@ -34,10 +34,12 @@ def _staged(star: dict[str, DataFrame], category: str, id_name: str) -> DataFram
     """Fact joined to its dimensions.
 
     Dates are broadcast outright, being bounded by the calendar; the series of
-    one category are left to AQE, as their number is not.
+    one category are left to AQE, as their number is not. The series id is read
+    off the fact's key, which equals it: a later filter on it then reaches the
+    fact scan and its buckets, and a later window finds them partitioned.
     """
     series = star["dim_series"].where(F.col("category") == category).select(
-        "series_key", "series_id", "series_name", "currency", "source"
+        "series_key", "series_name", "currency", "source"
     )
     dates = star["dim_date"].select("date_key", F.col("full_date").alias("rate_date"))
     return (
@@ -45,9 +47,9 @@ def _staged(star: dict[str, DataFrame], category: str, id_name: str) -> DataFram
         .join(series, "series_key")
         .join(F.broadcast(dates), "date_key")
         .select(
-            dated_id(F.col("series_id"), F.col("rate_date")).alias(id_name),
+            dated_id(F.col("series_key"), F.col("rate_date")).alias(id_name),
             "rate_date",
-            "series_id",
+            F.col("series_key").alias("series_id"),
             "series_name",
             "currency",
             "source",

@@ -49,10 +49,16 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_raw_csv(observations: DataFrame, path: str) -> None:
-    """One sub-directory per series file; rows keep their order, no shuffle."""
+def write_raw_csv(raw: DataFrame, path: str) -> None:
+    """One sub-directory per series file, with no shuffle.
+
+    Rows stay in arrival order: tasks already are, and sorting by file and
+    position inside a task spares the writer a sort by file alone, which could
+    swap rows.
+    """
     (
-        observations.select("series_file", "date", "value", "series_id")
+        raw.sortWithinPartitions("series_file", "position")
+        .select("series_file", "date", "value", "series_id")
         .write.partitionBy("series_file")
         .mode("overwrite")
         .option("header", True)

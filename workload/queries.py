@@ -158,7 +158,8 @@ def ingest_sdmx_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def raw_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
-    raw_csv.write_raw_csv(views.raw_observations(spark, sf_dir).orderBy("position"), path)
+    raw = views.raw_observations(spark, sf_dir).repartitionByRange("position")
+    raw_csv.write_raw_csv(raw, path)
     return clean.clean_observations(raw_csv.read_partitioned_raw_csv(spark, path))
 
 

@@ -40,48 +40,54 @@ def line_position() -> Column:
     """Order and line number, then price: a fixed-width key, so keep-last can
     hash. Line keys are not unique, and prices have two decimals."""
     line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(19,0)")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
+    cents = (F.col("l_extendedprice") * 100 + 0.5).cast("bigint").cast("decimal(12,0)")
     return line * F.lit(10**12).cast("decimal(13,0)") + cents
 
 
-def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def last_prices(spark: SparkSession, sf_dir: str, series: list[str]) -> DataFrame:
+    """The last price per day of each combination of ``series`` columns."""
     lines = table(spark, sf_dir, "lineitem").select(
-        renamed(F.concat("l_returnflag", "l_linestatus"), FX_SERIES).alias("series_id"),
+        *series,
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_extendedprice").alias("value"),
         line_position().alias("position"),
     )
-    return _as_files(keep_last(lines, ["series_id", "date"], "value", F.col("position")))
+    return keep_last(lines, [*series, "date"], "value", F.col("position"))
+
+
+def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.concat("l_returnflag", "l_linestatus")
+    prices = last_prices(spark, sf_dir, ["l_returnflag", "l_linestatus"])
+    return _as_files(prices, renamed(code, FX_SERIES))
 
 
 def supplier_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As above with a series per supplier: many series."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("series_id"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_extendedprice").alias("value"),
-        line_position().alias("position"),
+    return _as_files(
+        last_prices(spark, sf_dir, ["l_suppkey"]), F.col("l_suppkey").cast("string")
     )
-    return _as_files(keep_last(lines, ["series_id", "date"], "value", F.col("position")))
 
 
 def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yields and policy rates; the Fed Funds rate only once a month."""
     orders = table(spark, sf_dir, "orders").select(
-        renamed(F.col("o_orderpriority"), RATE_SERIES).alias("series_id"),
+        "o_orderpriority",
         F.col("o_orderdate").cast("date").alias("date"),
         F.col("o_totalprice").alias("value"),
         F.col("o_orderkey").alias("position"),
     )
-    daily = keep_last(orders, ["series_id", "date"], "value", F.col("position"))
-    monthly = F.col("series_id") == "FEDFUNDS"
+    keep = ["o_orderpriority", "date"]
+    monthly = F.col("o_orderpriority") == "4-NOT SPECIFIED"
+    daily = keep_last(orders.where(~monthly), keep, "value", F.col("position"))
     first_of_month = (
-        daily.where(monthly)
-        .groupBy("series_id", F.trunc("date", "month").alias("month"))
+        keep_last(orders.where(monthly), keep, "value", F.col("position"))
+        .groupBy("o_orderpriority", F.trunc("date", "month").alias("month"))
         .agg(F.min("date").alias("date"), F.min_by("value", "date").alias("value"))
         .drop("month")
     )
-    return _as_files(daily.where(~monthly).unionByName(first_of_month))
+    return _as_files(
+        daily.unionByName(first_of_month), renamed(F.col("o_orderpriority"), RATE_SERIES)
+    )
 
 
 def market_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,5 +228,6 @@ def segment_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.withColumns({"spread_2y_10y": spread, "is_inverted": spread < 0})
 
 
-def _as_files(df: DataFrame) -> DataFrame:
-    return df.select(F.col("series_id").alias("series_file"), "series_id", "date", "value")
+def _as_files(df: DataFrame, series: Column) -> DataFrame:
+    named = df.select(series.alias("series_id"), "date", "value")
+    return named.select(F.col("series_id").alias("series_file"), "series_id", "date", "value")
