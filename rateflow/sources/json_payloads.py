@@ -13,7 +13,7 @@ PAYLOAD_SCHEMA = "observations ARRAY<STRUCT<date: STRING, value: STRING>>"
 
 def read_json_payloads(spark: SparkSession, path: str) -> DataFrame:
     """``(series_file, payload)``, one row per file; the stem names the series."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         file_stem().alias("series_file"), F.col("value").alias("payload")
     )
 
