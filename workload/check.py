@@ -29,7 +29,7 @@ def main(names: list[str]) -> int:
     for name in names or list(REGISTRY):
         start = time.time()
         try:
-            message = _compare(spark, connection, name, sf_dir)
+            message = compare(spark, connection, name, sf_dir)
         except Exception as error:  # report and go on to the next query
             message = f"ERROR {type(error).__name__}: {str(error)[:600]}"
         failures += not message.startswith("ok")
@@ -38,7 +38,7 @@ def main(names: list[str]) -> int:
     return failures
 
 
-def _compare(spark, connection, name: str, sf_dir: str) -> str:
+def compare(spark, connection, name: str, sf_dir: str) -> str:
     ours = REGISTRY[name](spark, sf_dir).toArrow()
     theirs = connection.sql(oracle_sql()[name]).to_arrow_table()
     columns = sorted(ours.column_names)
