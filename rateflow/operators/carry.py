@@ -1,18 +1,13 @@
-"""Carrying the last known value forward along dates.
-
-A whole-table window would pull every row into one task. Here rows are
-windowed per calendar year, and the value known at the start of each year comes
-from a summary with one row per year: at most a few hundred rows per series.
-"""
+"""Carrying the last known value forward along dates, year by year."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rateflow.operators.years import GROUP, in_year, join_summary, over_years, with_year
+
 
 def last_known(
     df: DataFrame,
@@ -23,44 +18,28 @@ def last_known(
 ) -> DataFrame:
     """Add ``columns[c]``: the latest non-null ``c`` up to (or before) each row."""
     keys = keys or []
-    groups = [*keys, "_year"]
-    dated = df.withColumn("_year", F.year(order))
-
-    closing = dated.groupBy(*groups).agg(
+    dated = with_year(df, keys, order)
+    closing = dated.groupBy(GROUP).agg(
         *[
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_close_{c}")
             for c in columns
         ]
     )
-    earlier_years = Window.partitionBy(*keys).orderBy("_year").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    earlier = over_years(keys).rowsBetween(Window.unboundedPreceding, -1)
     opening = closing.select(
-        *[F.col(group).alias(f"_o{group}") for group in groups],
-        *[
-            F.last(f"_close_{c}", ignorenulls=True).over(earlier_years).alias(f"_open_{c}")
-            for c in columns
-        ],
+        GROUP,
+        *[F.last(f"_close_{c}", ignorenulls=True).over(earlier).alias(f"_open_{c}") for c in columns],
     )
-    same_group = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_o{g}")) for g in groups]
+    until = in_year(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if include_current else -1
     )
-    # Without keys: one row per year of the calendar, so always broadcastable.
-    right = opening if keys else F.broadcast(opening)
-
-    until = Window.currentRow if include_current else -1
-    in_year = Window.partitionBy(*groups).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, until
+    within = dated.withColumns(
+        {name: F.last(c, ignorenulls=True).over(until) for c, name in columns.items()}
     )
     return (
-        dated.withColumns(
-            {name: F.last(c, ignorenulls=True).over(in_year) for c, name in columns.items()}
-        )
-        .join(right, same_group, "left")
-        .withColumns(
-            {name: F.coalesce(name, f"_open_{c}") for c, name in columns.items()}
-        )
-        .drop("_year", *[f"_o{g}" for g in groups], *[f"_open_{c}" for c in columns])
+        join_summary(within, opening, keys)
+        .withColumns({name: F.coalesce(name, f"_open_{c}") for c, name in columns.items()})
+        .drop(GROUP, *[f"_open_{c}" for c in columns])
     )
 
 

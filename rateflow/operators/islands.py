@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rateflow.operators.years import GROUP, in_year, join_summary, over_years, with_year
+
 
 def flagged_runs(
     df: DataFrame,
@@ -22,25 +22,21 @@ def flagged_runs(
     is wanted. A NULL flag ends a run; a gap in the calendar does not.
 
     Runs are found per calendar year and those meeting at a year's end are
-    joined up, so no task sees a whole history and the last pass only handles
-    runs.
+    joined up; the last pass only handles runs.
     """
     keys = keys or []
-    groups = [*keys, "_year"]
-    flagged = df.select(
-        *keys,
-        F.year(order).alias("_year"),
+    flagged = with_year(df, keys, order).select(
+        GROUP,
         F.col(order).alias("_at"),
         F.coalesce(flag, F.lit(False)).alias("_flag"),
         *[column.alias(name) for name, column in measures.items()],
     )
-    in_year = Window.partitionBy(*groups).orderBy("_at")
-    rows = flagged.withColumn("_row", F.row_number().over(in_year)).withColumn(
-        "_gap", F.col("_row") - F.sum(F.col("_flag").cast("int")).over(in_year)
+    rows = flagged.withColumn("_row", F.row_number().over(in_year("_at"))).withColumn(
+        "_gap", F.col("_row") - F.sum(F.col("_flag").cast("int")).over(in_year("_at"))
     )
     pieces = (
         rows.where("_flag")
-        .groupBy(*groups, "_gap")
+        .groupBy(GROUP, "_gap")
         .agg(
             F.min("_at").alias("start"),
             F.max("_at").alias("end"),
@@ -51,22 +47,16 @@ def flagged_runs(
     )
 
     # Whether the row just before each year's first one was flagged.
-    year_ends = flagged.groupBy(*groups).agg(F.max_by("_flag", "_at").alias("_ends_flagged"))
-    by_year = Window.partitionBy(*keys).orderBy("_year")
+    year_ends = flagged.groupBy(GROUP).agg(F.max_by("_flag", "_at").alias("_ends_flagged"))
     year_starts = year_ends.select(
-        *[F.col(group).alias(f"_o{group}") for group in groups],
-        F.lag("_ends_flagged", 1, False).over(by_year).alias("_carried"),
-    )
-    same_group = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_o{g}")) for g in groups]
+        GROUP, F.lag("_ends_flagged", 1, False).over(over_years(keys)).alias("_carried")
     )
-    # Without keys: one row per year of the calendar, so always broadcastable.
-    right = year_starts if keys else F.broadcast(year_starts)
 
     begins = ~((F.col("_first_row") == 1) & F.col("_carried"))
     by_start = Window.partitionBy(*keys).orderBy("start")
     return (
-        pieces.join(right, same_group)
+        join_summary(pieces, year_starts, keys)
+        .withColumns({key: F.col(f"{GROUP}.{key}") for key in keys})
         .withColumn("_run", F.sum(begins.cast("int")).over(by_start))
         .groupBy(*keys, "_run")
         .agg(

@@ -12,13 +12,13 @@ the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rateflow.functions.statistics import ratio
+from rateflow.operators.years import GROUP, in_year, join_summary, over_years, with_year
 
 AddColumns = Callable[[DataFrame, WindowSpec], DataFrame]
 
@@ -68,25 +68,17 @@ def number_rows(df: DataFrame, keys: list[str], order: str, name: str) -> DataFr
     Rows are numbered within ``(series, year)``; the few counts per year are
     summed up per series and added on.
     """
-    groups = [*keys, "_year"]
-    dated = df.withColumn("_year", F.year(order))
-    counts = dated.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*keys).orderBy("_year").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    dated = with_year(df, keys, order)
+    counts = dated.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = over_years(keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *[F.col(group).alias(f"_o{group}") for group in groups],
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    same_group = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_o{g}")) for g in groups]
+        GROUP, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
     )
-    in_year = F.row_number().over(Window.partitionBy(*groups).orderBy(order))
+    numbered = dated.withColumn(name, F.row_number().over(in_year(order)))
     return (
-        dated.withColumn(name, in_year)
-        .join(offsets, same_group)
+        join_summary(numbered, offsets, keys)
         .withColumn(name, F.col(name) - 1 + F.col("_offset"))
-        .drop("_offset", "_year", *[f"_o{group}" for group in groups])
+        .drop("_offset", GROUP)
     )
 
 

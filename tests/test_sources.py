@@ -122,8 +122,8 @@ def test_wide_csv(spark, rows, day, tmp_path):
     (tmp_path / "wide.csv").write_text(WIDE)
     long = wide_tables.read_wide_csv(spark, str(tmp_path), "BIS_OTC_DERIV")
     assert rows(long.select("series_id", "date", "value", "position")) == [
-        ("X:1", day("2023-01-01"), 1.0, 1), ("X:1", day("2023-01-01"), 3.0, 3), ("X:1", day("2023-04-01"), 2.0, 2),
-        ("Y:2", day("2023-01-01"), 4.0, 1), ("Y:2", day("2023-01-01"), 6.0, 3), ("Y:2", day("2023-04-01"), 5.0, 2),
+        ("X:1", day("2023-01-01"), 1.0, 0), ("X:1", day("2023-01-01"), 3.0, 2), ("X:1", day("2023-04-01"), 2.0, 1),
+        ("Y:2", day("2023-01-01"), 4.0, 0), ("Y:2", day("2023-01-01"), 6.0, 2), ("Y:2", day("2023-04-01"), 5.0, 1),
     ]
 
 
