@@ -48,16 +48,21 @@ def rejected_files(raw: DataFrame) -> DataFrame:
     )
 
 
-def parse_observations(raw: DataFrame) -> DataFrame:
+def parse_observations(raw: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """Every dated reading of the sound files, copies included."""
     return _without_rejected(
-        typed_observations(raw).where(F.col("value").isNotNull()), raw
+        typed_observations(raw).where(F.col("value").isNotNull()), raw, rejected
     )
 
 
-def clean_observations(raw: DataFrame) -> DataFrame:
-    """Complete rows of the sound files, the last copy of each key kept."""
-    return _without_rejected(deduplicated(typed_observations(raw)), raw)
+def clean_observations(raw: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+    """Complete rows of the sound files, the last copy of each key kept.
+
+    ``rejected`` is ``rejected_files(raw)`` read back from a written table. At
+    scale write it first: its size is then known when the join is planned, and
+    ``raw`` is not scanned for it again.
+    """
+    return _without_rejected(deduplicated(typed_observations(raw)), raw, rejected)
 
 
 def deduplicated(observations: DataFrame) -> DataFrame:
@@ -65,17 +70,19 @@ def deduplicated(observations: DataFrame) -> DataFrame:
     return keep_last(complete, OBSERVATION_KEY, "value", F.col("position"))
 
 
-def _without_rejected(rows: DataFrame, raw: DataFrame) -> DataFrame:
+def _without_rejected(rows: DataFrame, raw: DataFrame, rejected: DataFrame | None) -> DataFrame:
     """Take out the rejected files, after deduplication where there is any.
 
     An outer join with a filter, not an anti join: the optimizer would move that
     below the aggregate and join raw rows by file, a heavily skewed key. Above
-    it, both sides come from finished shuffles, so AQE knows how many files are
-    rejected, and broadcasts them or splits the larger side.
+    it, Spark broadcasts the few rejected names once it has measured them. Too
+    many for that, and AQE splits a file which fills more than its share of
+    tasks (given the written table, as it splits plain shuffles only).
     """
-    rejected = rejected_files(raw).select("series_file", F.lit(True).alias("rejected"))
+    names = rejected_files(raw) if rejected is None else rejected
+    marked = names.select("series_file", F.lit(True).alias("rejected"))
     return (
-        rows.join(rejected, "series_file", "left")
+        rows.join(marked, "series_file", "left")
         .where(F.col("rejected").isNull())
         .drop("rejected")
     )

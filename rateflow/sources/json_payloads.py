@@ -41,10 +41,14 @@ def rejected_payloads(payloads: DataFrame) -> DataFrame:
 
 
 def _parsed(payloads: DataFrame) -> DataFrame:
-    """Payloads are whole rows, so each is judged on the spot, with no shuffle."""
+    """Payloads are whole rows, so each is judged on the spot, with no shuffle.
+
+    Exploding an array of one keeps the optimizer from copying the parse into
+    every expression which uses its result.
+    """
+    observations = F.from_json("payload", PAYLOAD_SCHEMA).getField("observations")
     parsed = payloads.select(
-        "series_file",
-        F.from_json("payload", PAYLOAD_SCHEMA).getField("observations").alias("observations"),
+        "series_file", F.explode(F.array(observations)).alias("observations")
     )
     dates = F.filter(
         F.transform("observations", lambda o: missing_to_null(o["date"])), _present

@@ -58,6 +58,21 @@ def test_rejected_files_join_after_deduplication(raw):
     assert plan.index("Join LeftOuter") < plan.index("max_by")
 
 
+def test_written_rejects_give_the_same_rows(spark, raw, rows, tmp_path):
+    many = [(f"F{i % 9}", "bad" if i == 4 else f"2024-01-{1 + i % 28:02d}", str(i), "HOT" if i % 3 else "S") for i in range(500)]
+    frame = raw(many)
+    rejected_files(frame).write.parquet(str(tmp_path / "rejected"))
+    rejected = spark.read.parquet(str(tmp_path / "rejected"))
+    broadcast = rows(clean_observations(frame, rejected))
+    assert broadcast == rows(clean_observations(frame)) and {r[0] for r in broadcast} == {f"F{i}" for i in range(9) if i != 4}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(clean_observations(frame, rejected)) == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 # Checks
 
 def _series(spark, rows):
