@@ -49,6 +49,16 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def list_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``(series_file)`` of every CSV in a directory; contents are not read."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+        .select(file_stem().alias("series_file"))
+    )
+
+
 def write_raw_csv(raw: DataFrame, path: str) -> None:
     """One sub-directory per series file, with no shuffle.
 

@@ -174,6 +174,14 @@ def test_archives(spark, rows, tmp_path):
     assert rejected == {"NO_CSV", "DAMAGED", "NOISE", "RAGGED", "NO_ID", "NO_PERIOD"}
 
 
+def test_headings_without_a_day_are_listed(spark, rows):
+    content = b"Series,2023,202306,2023-13,FREQ\nX,1,2,3,4\nY,1,2,3,4\n"
+    archives = spark.createDataFrame([("D", bytearray(content))], "series_file STRING, content BINARY")
+    expanded = wide_tables.expand_archives(archives)
+    assert rows(wide_tables.undated_periods(expanded)) == [("D", "2023-13"), ("D", "202306")]
+    assert wide_tables.archive_observations(expanded).count() == 2
+
+
 def test_last_of_several_headings_for_a_day_wins(spark, rows, day, tmp_path):
     (tmp_path / "BIS_OTC_DERIV.zip").write_bytes(_zip({"data.csv": WIDE}))
     expanded = wide_tables.expand_archives(wide_tables.read_archives(spark, str(tmp_path)))

@@ -265,6 +265,7 @@ QUERIES: dict[str, str] = {
     "stg_interest_rates": "SELECT * FROM stg_interest",
     "stg_yield_curve": "SELECT * FROM stg_yield",
     "mart_fx_analytics": f"SELECT * REPLACE ({_r('rolling_volatility_30d')} AS rolling_volatility_30d) FROM fx_mart",
+    "batch_from_payloads": f"SELECT * REPLACE ({_r('rolling_volatility_30d')} AS rolling_volatility_30d) FROM fx_mart",
     "mart_yield_curve": "SELECT * FROM curve_mart",
     "mart_rate_differential": "SELECT * FROM diff_mart",
     "data_tests": _data_tests(),

@@ -339,6 +339,22 @@ def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def batch_from_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads and wide tables parsed, deduplicated, written, and built upon."""
+    wide = views.derivative_wide(spark, sf_dir)
+    parsed = json_payloads.json_observations(views.json_payloads(spark, sf_dir))
+    for name in DERIVATIVE_DATASETS:
+        long = wide_tables.wide_to_long(wide.where(F.col("dataset") == name), name)
+        parsed = parsed.unionByName(long)
+    path = scratch_path(spark, "processed")
+    tables.write_observations(clean.deduplicated(parsed), path)
+    star_by_name = star.star_schema(tables.read_observations(spark, path))
+    staged_by_name = pipeline.staging_models(star_by_name)
+    mart = pipeline.mart_models(staged_by_name)[FX]
+    return rounded(mart, "rolling_volatility_30d")
+
+
 # Reports
 
 
