@@ -13,9 +13,9 @@ MISSING_TOKENS = [
 ]
 
 # Years a 64-bit nanosecond timestamp holds in full, 1678 to 2261. A date
-# outside them counts as unparseable, so one series has at most 213,304 days:
+# outside them counts as unparseable, so one series has at most 213,301 days:
 # every per-series window and the date dimension rest on that bound.
-MAX_DAYS = 213_304
+MAX_DAYS = 213_301
 
 _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
 _YEAR = r"(16(7[89]|[89]\d)|1[7-9]\d\d|2[01]\d\d|22([0-5]\d|6[01]))"

@@ -31,8 +31,9 @@ def flagged_runs(
         F.coalesce(flag, F.lit(False)).alias("_flag"),
         *[column.alias(name) for name, column in measures.items()],
     )
+    so_far = in_year("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = flagged.withColumn("_row", F.row_number().over(in_year("_at"))).withColumn(
-        "_gap", F.col("_row") - F.sum(F.col("_flag").cast("int")).over(in_year("_at"))
+        "_gap", F.col("_row") - F.sum(F.col("_flag").cast("int")).over(so_far)
     )
     pieces = (
         rows.where("_flag")
@@ -53,7 +54,9 @@ def flagged_runs(
     )
 
     begins = ~((F.col("_first_row") == 1) & F.col("_carried"))
-    by_start = Window.partitionBy(*keys).orderBy("start")
+    by_start = Window.partitionBy(*keys).orderBy("start").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     return (
         join_summary(pieces, year_starts, keys)
         .withColumns({key: F.col(f"{GROUP}.{key}") for key in keys})

@@ -66,8 +66,16 @@ def clean_observations(raw: DataFrame, rejected: DataFrame | None = None) -> Dat
 
 
 def deduplicated(observations: DataFrame) -> DataFrame:
-    complete = observations.dropna(subset=["date", "value"])
-    return keep_last(complete, OBSERVATION_KEY, "value", F.col("position"))
+    """Incomplete rows get no position, so they lose to any complete one, and
+    keys without a complete row end up NULL and are dropped.
+
+    Dropping them before would be moved down to the scan, where each text would
+    be parsed once for the filter and again for the result.
+    """
+    complete = F.col("date").isNotNull() & F.col("value").isNotNull()
+    position = F.when(complete, F.col("position"))
+    kept = keep_last(observations, OBSERVATION_KEY, "value", position)
+    return kept.where(F.col("value").isNotNull())
 
 
 def _without_rejected(rows: DataFrame, raw: DataFrame, rejected: DataFrame | None) -> DataFrame:

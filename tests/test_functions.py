@@ -12,7 +12,7 @@ from rateflow.functions.calendar import (
     period_to_date,
     years_before,
 )
-from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
+from rateflow.functions.coercion import MAX_DAYS, date_parts, missing_to_null, to_day, to_number
 from rateflow.functions.statistics import pearson, ratio
 
 
@@ -95,3 +95,7 @@ def test_pearson_of_constant_and_single_pairs(spark):
     df = spark.createDataFrame([(1.0, 2.0, None), (1.0, 3.0, 4.0)], "a DOUBLE, b DOUBLE, c DOUBLE")
     row = df.select(pearson(F.col("a"), F.col("b")), pearson(F.col("b"), F.col("c"))).first()
     assert tuple(row) == (None, None)
+
+
+def test_the_day_bound(day):
+    assert (day("2261-12-31") - day("1678-01-01")).days + 1 == MAX_DAYS
