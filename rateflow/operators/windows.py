@@ -1,12 +1,11 @@
 """Row-based history operators: lags, returns, trailing windows.
 
-Rows of one series are cleaned to at most one per day, so a series is bounded
-by the days a date can take (``MAX_DAYS``) however large the table is, and
+A cleaned series has at most one row per day, so it is bounded by the days a
+date can take (``MAX_DAYS``) however large the table is, and
 ``Window.partitionBy(series)`` is balanced: one shuffle, none on a table
-bucketed by series. For the opposite shape -- few series, so few busy tasks --
-or for frames without that bound, pass ``chunk_rows``: every series is then cut
-into chunks which overlap by as many rows as the frame looks back. Both give
-the same rows.
+bucketed by series. For the opposite shape -- few long series, so few busy
+tasks -- pass ``chunk_rows``: every series is then cut into chunks which overlap
+by as many rows as the frame looks back. Both give the same rows.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 
 from rateflow.catalog import SERIES_CATALOG
-from workload.views import FX_SERIES, RATE_SERIES, WIDE_PERIODS  # noqa: F401
+from rateflow.plans.pipeline import DATA_TESTS
+from workload.views import FX_SERIES, RATE_SERIES
 
 
 def _case(expression: str, names: dict[str, str]) -> str:
@@ -201,8 +202,6 @@ def _data_tests() -> str:
         "stg_fx_rates": "stg_fx", "stg_interest_rates": "stg_interest", "stg_yield_curve": "stg_yield",
         "fx_analytics_mart": "fx_mart", "yield_curve_mart": "curve_mart", "rate_differential_mart": "diff_mart",
     }
-    from rateflow.plans.pipeline import DATA_TESTS
-
     selects = []
     for name, unique, not_null in DATA_TESTS:
         for c in unique:
@@ -331,6 +330,10 @@ QUERIES: dict[str, str] = {
                {_r('max(rolling_volatility_30d)')} AS max_volatility_30d
         FROM fx_mart WHERE series_id IN ('DEXUSEU', 'DEXBZUS') GROUP BY series_id""",
     "rolling_many_series": _ROLLING.format("supplier_obs"),
+    "fact_many_series": f"""
+        SELECT CAST(strftime(date, '%Y%m%d') AS BIGINT) AS date_key, series_id AS series_key,
+               'Global' AS geography_key, value, change_1d, change_1w, change_1m
+        FROM ({_CHANGES.format('supplier_obs')})""",
     "rolling_chunked": _ROLLING.format("fx_obs"),
     "changes_many_series": _CHANGES.format("supplier_obs"),
     "changes_chunked": _CHANGES.format("fx_obs"),

@@ -475,6 +475,13 @@ def rolling_many_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rolling(views.supplier_observations(spark, sf_dir), None)
 
 
+@query
+def fact_many_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table where the series dimension grows with the data."""
+    observations = written(spark, views.supplier_observations(spark, sf_dir), "suppliers")
+    return star.fact_market_rates(observations, star.dim_series(observations))
+
+
 @query
 def rolling_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rolling(views.fx_observations(spark, sf_dir), 500)

@@ -76,18 +76,13 @@ def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("value"),
         F.col("o_orderkey").alias("position"),
     )
-    keep = ["o_orderpriority", "date"]
+    daily = keep_last(orders, ["o_orderpriority", "date"], "value", F.col("position"))
     monthly = F.col("o_orderpriority") == "4-NOT SPECIFIED"
-    daily = keep_last(orders.where(~monthly), keep, "value", F.col("position"))
-    first_of_month = (
-        keep_last(orders.where(monthly), keep, "value", F.col("position"))
-        .groupBy("o_orderpriority", F.trunc("date", "month").alias("month"))
-        .agg(F.min("date").alias("date"), F.min_by("value", "date").alias("value"))
-        .drop("month")
-    )
-    return _as_files(
-        daily.unionByName(first_of_month), renamed(F.col("o_orderpriority"), RATE_SERIES)
+    period = F.when(monthly, F.trunc("date", "month")).otherwise(F.col("date"))
+    first = daily.groupBy("o_orderpriority", period.alias("period")).agg(
+        F.min("date").alias("date"), F.min_by("value", "date").alias("value")
     )
+    return _as_files(first, renamed(F.col("o_orderpriority"), RATE_SERIES))
 
 
 def market_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
