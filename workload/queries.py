@@ -77,7 +77,8 @@ def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def joined_rate_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.rate_fx(*mart_tables(spark, sf_dir, DIFFERENTIAL, FX))
+    models = pipeline.mart_models(staged(spark, sf_dir))
+    return reports.rate_fx(models[DIFFERENTIAL], models[FX])
 
 
 # "Today" of the five-year report: the given tables end in 2001.
