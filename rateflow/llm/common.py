@@ -78,6 +78,20 @@ def _label_sum(labels: DataFrame):
     return labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
 
 
+#: Ids that are broadcast at most (8 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def rows_of(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs`` with (``left_anti``: without) a doc_id in ``ids``.
+
+    Up to ``BROADCAST_IDS`` ids go to the tasks, so that texts are not shuffled.
+    """
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", how)
+
+
 def crc_remainder(doc_id: Column, divisor: int = 3) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import packing, quality, toxicity
+from rateflow.llm import minhash, packing, quality, toxicity
 from rateflow.llm.common import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_held_out(quality.score_documents(docs, model, threshold=0.5))
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(
+        spark, table(spark, sf_dir, "documents"), width=2, percent=80
+    )
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(
