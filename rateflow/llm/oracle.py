@@ -1,3 +1,51 @@
 """DuckDB SQL for the queries that SQL can express over whole tables."""
 
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from rateflow.llm.license_scan import COPYRIGHT_LINE, EQUIVALENT, KNOWN_TEXTS, SIGNS
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _replaced(expression: str, pattern: str, instead: str) -> str:
+    instead = instead.replace("$", "\\")
+    return f"regexp_replace({expression}, {_quoted(pattern)}, {_quoted(instead)}, 'g')"
+
+
+def _spelled(expression: str) -> str:
+    for pattern, instead in EQUIVALENT:
+        expression = _replaced(expression, pattern, instead)
+    return expression
+
+
+def _license_scan() -> str:
+    lines = _spelled(_replaced(_replaced("lower(text)", COPYRIGHT_LINE, ""), SIGNS, " "))
+    whole = f"trim({_spelled(_replaced('form', '[ \\n]+', ' '))})"
+    known = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN_TEXTS)
+    return f"""
+WITH known AS (
+    SELECT sha256({whole}) AS digest, min(license) AS license
+    FROM (SELECT license, {lines} AS form FROM (VALUES {known}) AS k(license, text))
+    GROUP BY 1
+), forms AS (
+    SELECT doc_id, {lines} AS form
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+), whole AS (
+    SELECT doc_id, sha256({whole}) AS digest, count(*) AS n_rows FROM forms GROUP BY 1, 2
+), lines AS (
+    SELECT doc_id, sha256(trim(line)) AS digest
+    FROM (SELECT doc_id, unnest(string_split(form, chr(10))) AS line FROM forms)
+), notices AS (
+    SELECT doc_id, count(*) AS n_notices,
+        array_to_string(list_sort(list(DISTINCT license)), ',') AS notices
+    FROM lines JOIN known USING (digest) GROUP BY 1
+)
+SELECT doc_id, n_rows, digest, license, coalesce(n_notices, 0) AS n_notices,
+    coalesce(notices, '') AS notices
+FROM whole LEFT JOIN known USING (digest) LEFT JOIN notices USING (doc_id)
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op10_license_scans": _license_scan()}

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import minhash, packing, quality, toxicity
+from rateflow.llm import (
+    fingerprints,
+    license_scan,
+    minhash,
+    packing,
+    quality,
+    secret_scan,
+    toxicity,
+)
 from rateflow.llm.common import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +46,11 @@ def with_held_out(scored: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -45,6 +58,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_held_out(toxicity.score_documents(docs, lexicon, threshold=0.7))
 
 
+@query
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = secret_scan.find_secrets(spark, table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id",
+        "nth",
+        F.length("candidate").alias("n_chars"),
+        F.sha2("candidate", 256).alias("candidate_sha256"),
+        "probability",
+        "is_secret",
+    )
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -68,3 +94,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         end_id=0,
     )
     return packing.pack(spark, pieces, capacity=2048)
+
+
+@query
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark, table(spark, sf_dir, "documents"))
