@@ -48,4 +48,34 @@ FROM whole LEFT JOIN known USING (digest) LEFT JOIN notices USING (doc_id)
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op10_license_scans": _license_scan()}
+# All pairs of a label, then components by the smallest id over shortest walks.
+_EMBEDDING_DEDUP = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), counted AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+), lowest AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN lowest ON vec_id = lowest.a LEFT JOIN counted ON vec_id = counted.a
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": _EMBEDDING_DEDUP,
+    "op10_license_scans": _license_scan(),
+}

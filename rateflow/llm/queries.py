@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.llm import (
+    embedding_dedup,
     fingerprints,
     license_scan,
     minhash,
@@ -46,6 +47,13 @@ def with_held_out(scored: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(
+        spark, table(spark, sf_dir, "embeddings"), similarity=0.98
+    )
+
+
 @query
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(spark, table(spark, sf_dir, "documents"))
