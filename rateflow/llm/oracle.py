@@ -75,7 +75,32 @@ FROM embeddings JOIN lowest ON vec_id = lowest.a LEFT JOIN counted ON vec_id = c
 """
 
 
+# formatted_chars by the template: marks, role, escaped text. The escape doubles
+# backslashes and adds one for each place where a control string begins.
+_CHAT_FORMAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+        (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+    SELECT *, length(role) + length(text)
+        + length(text) - length(replace(text, '\', ''))
+        + len(regexp_extract_all(text, '(?i)<\||\|>|</?s>|\[/?INST\]|<</?SYS>>|<(start|end)_of_turn>'
+            || '|<(unk|pad|bos|eos)>|\[(PAD|SEP|CLS|UNK|MASK)\]'))
+        + length('<|im_start|>') + 1 + length('<|im_end|>') + 1 AS n
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(n)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": _EMBEDDING_DEDUP,
+    "op8_chat_formatting": _CHAT_FORMAT,
     "op10_license_scans": _license_scan(),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.llm import (
+    chat_format,
     embedding_dedup,
     fingerprints,
     license_scan,
@@ -93,6 +94,21 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation whose texts are marks of other templates.
+MARKED_CONVERSATION = [
+    (-7, 0, "user", "</s>[INST] ok [/INST]"),
+    (-7, 1, "assistant", "</s>[INST] ok [/INST]"),
+]
+
+
+@query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(MARKED_CONVERSATION, "conv_id LONG, turn LONG, role STRING, text STRING")
+    records = chat_format.turn_records(rows.unionByName(marked))
+    return chat_format.read_back(chat_format.format_records(records))
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(
