@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateflow.llm import packing, quality, toxicity
+from rateflow.llm import minhash, packing, quality, secret_scan, toxicity
 from rateflow.llm.common import saved
 from rateflow.llm.queries import table, tokenizer_file
 
@@ -26,6 +26,16 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_civil(docs, lexicon, threshold=0.7)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, 0.8)."""
+    return minhash.keep_one(spark, docs, width=5, percent=80)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by a mask."""
+    return secret_scan.redact(spark, docs, secret_scan.find_secrets(spark, docs))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' pieces, placed in sequences of at most 2048 tokens."""
     pieces = packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"))
@@ -35,6 +45,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", good_quality),
     ("toxicity", civil),
+    ("near_duplicates", distinct),
+    ("secrets", without_secrets),
     ("packing", packed),
 ]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -74,6 +74,26 @@ def worker_cache() -> dict:
     return vars(sys.modules.setdefault("_rateflow_worker", types.ModuleType("_rateflow_worker")))
 
 
+class Recent(dict):
+    """Values made on demand; drops what was not asked for lately."""
+
+    def __init__(self, limit: int, make: Callable) -> None:
+        super().__init__()
+        self._limit, self._make, self._older = limit, make, {}
+
+    def __missing__(self, key):
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
+        self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self._limit:
+            self._older = dict(self)
+            self.clear()
+
+
 def _label_sum(labels: DataFrame):
     return labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
 

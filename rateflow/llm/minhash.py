@@ -186,6 +186,27 @@ def near_duplicates(
     )
 
 
+def keep_one(
+    spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
+) -> DataFrame:
+    """The documents, with all their columns, less all but one of each group.
+
+    The one with the smallest doc_id stays; of rows that repeat it, any one. Rows
+    without doc_id stay.
+    """
+    found = near_duplicates(spark, docs, width, percent)
+    rows = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+    )
+    rows = saved(spark, rows, "rows")
+    dropped = rows.where(~F.col("kept")).select("doc_id")
+    repeated = rows.where(F.col("kept") & (F.col("n") > 1)).select("doc_id")
+    others = saved(spark, dropped.union(repeated), "others")
+    return rows_of(docs, others, "left_anti").unionByName(
+        rows_of(docs, repeated).dropDuplicates(["doc_id"])
+    )
+
+
 def _band_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """``(a, b)``: each class with the smallest class under each of its keys."""
     keys = saved(spark, classes.select("rep", F.explode("bands").alias("key")), "bands")

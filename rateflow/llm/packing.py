@@ -17,7 +17,7 @@ import json
 import sys
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import saved, worker_cache
+from rateflow.llm.common import Recent, saved, worker_cache
 
 CAPACITY = 2048
 #: Stretches, and words without their punctuation, whose ids a Python worker
@@ -39,26 +39,6 @@ _STABLE_LETTERS = "\u0500"
 _PIECE = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
 
 
-class _Recent(dict):
-    """Values made on demand; drops what was not asked for lately."""
-
-    def __init__(self, limit: int, make: Callable[[bytes], bytes]) -> None:
-        super().__init__()
-        self._limit, self._make, self._older = limit, make, {}
-
-    def __missing__(self, key: bytes) -> bytes:
-        value = self._older.get(key)
-        if value is None:
-            value = self._make(key)
-        self[key] = value
-        return value
-
-    def trim(self) -> None:
-        if len(self) > self._limit:
-            self._older = dict(self)
-            self.clear()
-
-
 class WordTokenizer:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -74,8 +54,8 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._by_word = _works_by_word(self._tokenizer)
-        self._stretches = _Recent(CACHED_STRETCHES, self._stretch)
-        self._words = _Recent(CACHED_WORDS, self._word)
+        self._stretches = Recent(CACHED_STRETCHES, self._stretch)
+        self._words = Recent(CACHED_WORDS, self._word)
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         for text in texts:

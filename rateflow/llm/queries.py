@@ -16,6 +16,7 @@ from rateflow.llm import (
     packing,
     quality,
     secret_scan,
+    sentencepiece_codec,
     toxicity,
 )
 from rateflow.llm.common import crc_remainder
@@ -55,6 +56,16 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.round_trips(
+        table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")
+    )
+    return coded.select(
+        "doc_id", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "same"
+    )
+
+
 @query
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(spark, table(spark, sf_dir, "documents"))

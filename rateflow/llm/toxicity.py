@@ -291,10 +291,9 @@ def train(
     rows = (
         sample.select("text", "label")
         .mapInArrow(measures, "mass DOUBLE, rate DOUBLE, label INT")
-        .orderBy("mass", "rate", "label")
         .collect()
     )
-    return Lexicon(weights, exceptions, _sigmoid(rows))
+    return Lexicon(weights, exceptions, _sigmoid(sorted(rows)))
 
 
 def _log_odds(toxic_with: int, clean_with: int, toxic: int, clean: int) -> float:

@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from rateflow.llm.queries import REGISTRY, table, tokenizer_file
+from rateflow.llm.sentencepiece_codec import (
+    SentencePieceCodec,
+    decode_documents,
+    encode_documents,
+    round_trips,
+)
+
+PATH = tokenizer_file("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return SentencePieceCodec(PATH)
+
+
+def ids(codec, text):
+    return np.frombuffer(codec.encode(text), "<u4").tolist()
+
+
+@pytest.fixture(scope="module")
+def both(tmp_path_factory):
+    """This codec and the library's own Viterbi over the same pieces and scores.
+
+    Scores of -10^9 are raised: beside them the library's floats lose digits.
+    """
+    model = pytest.importorskip("sentencepiece.sentencepiece_model_pb2").ModelProto()
+    with open(PATH, "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = 1
+    for piece in model.pieces:
+        piece.score = max(piece.score, -40000.0)
+    path = str(tmp_path_factory.mktemp("models") / "unigram.model")
+    with open(path, "wb") as file:
+        file.write(model.SerializeToString())
+    return SentencePieceCodec(path), sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " ", "  ", "a", " a  b\n", "naïve ﬁ\tz", "日本語テスト", "🙂🙂 x", "\n\n a", "thethere is"],
+)
+def test_small_texts_match_the_library_and_come_back(both, text):
+    codec, library = both
+    assert ids(codec, text) == library.encode(text)
+    assert codec.decode(codec.encode(text)) == text == library.decode(library.encode(text))
+
+
+def test_the_table_matches_the_library(both, spark, sf_dir):
+    codec, library = both
+    texts = [r["text"] for r in table(spark, sf_dir, "documents").select("text").collect()]
+    parts = {line for text in texts for line in text.split("\n")}
+    parts |= {word for text in texts for word in text.split()}
+    assert [p for p in parts if ids(codec, p) != library.encode(p)] == []
+
+
+def test_score_is_the_highest_of_all_segmentations(codec):
+    pieces = {codec._model.id_to_piece(i): codec._model.get_score(i) for i in codec._plain}
+    random.seed(4)
+    for _ in range(300):
+        text = "".join(random.choice("▁theanésing") for _ in range(random.randint(1, 14)))
+        best = [0.0]
+        for end in range(1, len(text) + 1):
+            starts = [s for s in range(end) if text[s:end] in pieces]
+            best.append(max(best[s] + pieces[text[s:end]] for s in starts))
+        found = codec.segment(text)
+        assert "".join(codec._model.id_to_piece(i) for i in found) == text
+        assert sum(codec._model.get_score(i) for i in found) == best[-1]
+
+
+def test_rows(spark, documents):
+    rows = [(1, None), (2, ""), (None, "a b"), (4, "a b"), (4, "a b"), (5, "long " * 50_000)]
+    docs = documents(rows).selectExpr("*", "'x' AS ids", "1 AS same")
+    made = round_trips(docs, PATH).collect()
+    assert len(made) == 6 and all(r["same"] for r in made)
+    assert {r["n_pieces"] for r in made if r["doc_id"] in (1, 2)} == {0}
+    back = decode_documents(encode_documents(docs, PATH), PATH)
+    assert sorted(str(r["text"]) for r in back.collect()) == sorted(t or "" for _, t in rows)
+    assert round_trips(documents([]), PATH).count() == 0
+
+
+def test_query_round_trips_every_document(spark, sf_dir):
+    assert REGISTRY["op2_sentencepiece_codec"](spark, sf_dir).where("NOT same").count() == 0
