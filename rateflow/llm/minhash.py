@@ -7,14 +7,18 @@ hash values. The steps:
 2. Bands: two small hash values of one residue class form a key; each class is
    compared with the smallest class under its keys. This joins the bulk of a large
    group of near copies with one link a member.
-3. Inverted lists: of a sketch's values, rarest first, only the prefix is listed
+3. Clusters: the classes that share their smallest class of step 2, whether they
+   link with it or not. Those that ended in another component than that class are
+   compared with the whole cluster, block against block inside tasks; of a class's
+   links one to each component comes out.
+4. Inverted lists: of a sketch's values, rarest first, only the prefix is listed
    that two sketches over the threshold cannot both miss. Lists pair classes of
-   *different* components of step 2; inside a component nothing is left to find.
-4. Pairs pass an estimate from the union's sketch, then exact Jaccard on the words
-   of both texts. Links make components.
+   *different* components and clusters; inside either nothing is left to find.
 
-A list pairs only what steps 2 and 3 leave, so no group yields all its pairs, and
-no pair over the threshold between two components is skipped. The chances taken
+Pairs pass an estimate from the union's sketch, then exact Jaccard on the words of
+both texts; links make components. Pairs are made only of what earlier steps
+leave, so no group yields all its pairs, and no pair over the threshold between
+two components is skipped. The chances taken
 are those of the hash: sketches of two sets with Jaccard 0.8 share at least 32 of
 the union's 64 values but for one pair in some 10^7, and so for other thresholds
 (``least_overlap``); sets that fit in their sketches take no chance.
@@ -37,6 +41,8 @@ SKETCH_SIZE = 64
 BANDS, BAND_VALUES = 8, 2
 #: Sets from this size on get bands.
 BAND_SET_SIZE = 4 * BANDS * BAND_VALUES
+#: Shingles of a block of cluster members that meets another in one task.
+BLOCK_SHINGLES = 500_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH = (
     "doc_id LONG, n_shingles LONG, digest BINARY, sketch ARRAY<LONG>, bands ARRAY<LONG>"
@@ -158,11 +164,22 @@ def near_duplicates(
         ),
         "classes",
     )
-    found = _confirmed(spark, docs, classes, _band_pairs(spark, classes), width, percent, size)
+    likely = _likely(spark, classes, _band_pairs(spark, classes), percent, size)
+    found = _confirmed(spark, docs, likely, width, percent)
+    # ``hub`` names a class's cluster: every pair with its own hub is decided.
+    clusters = saved(
+        spark,
+        likely.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("hub")),
+        "clusters",
+    )
     first = connected_components(spark, found)
-    pairs = _list_pairs(spark, classes, first, size, percent)
-    more = _confirmed(spark, docs, classes, pairs, width, percent, size)
-    components = connected_components(spark, found.union(more))
+    inside = _cluster_links(spark, docs, classes, clusters, first, width, percent)
+    found = found.union(inside)
+    second = connected_components(spark, found)
+    pairs = _list_pairs(spark, classes, clusters, second, size, percent)
+    likely = _likely(spark, classes, pairs, percent, size)
+    found = found.union(_confirmed(spark, docs, likely, width, percent))
+    components = connected_components(spark, found)
 
     # Only classes that are not their own document's alone need to be looked up.
     named = saved(
@@ -226,10 +243,97 @@ def _band_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
     )
 
 
+def _cluster_links(
+    spark: SparkSession,
+    docs: DataFrame,
+    classes: DataFrame,
+    clusters: DataFrame,
+    components: DataFrame,
+    width: int,
+    percent: int,
+) -> DataFrame:
+    """``(a, b)`` links between members of one cluster in different components.
+
+    A member whose component is not its hub's is a probe; probes meet all members
+    of the cluster. Both are dealt in blocks of about ``BLOCK_SHINGLES``.
+    """
+    at_hub = components.toDF("hub", "hub_component")
+    members = saved(
+        spark,
+        clusters.join(components.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(at_hub, "hub", "left")
+        .join(classes.select("rep", "n"), "rep")
+        .select("hub", "rep", "n", F.coalesce("component", "rep").alias("component"),
+                F.coalesce("hub_component", "hub").alias("hub_component")),
+        "members",
+    )
+    probe = F.col("component") != F.col("hub_component")
+    sizes = saved(
+        spark,
+        members.groupBy("hub")
+        .agg(
+            F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("bases"),
+            F.ceil(F.sum(F.when(probe, F.col("n"))) / BLOCK_SHINGLES).cast("int").alias("probes"),
+        )
+        .where(F.col("probes") > 0),
+        "sizes",
+    )
+    open_ = saved(spark, members.join(sizes, "hub"), "open")
+    texts = rows_of(docs, open_.select(F.col("rep").alias("doc_id")).distinct()).distinct()
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("rep"), F.col(own)).cast("int").alias(own[0])
+        each = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[0])
+        places = {own[0]: mine, other[0]: each}
+        return rows.select(
+            "hub", places["p"], places["b"], F.lit(own == "probes").alias("is_probe"), "rep", "component"
+        )
+
+    def compare(table: pa.Table) -> pa.Table:
+        hasher = WordHasher()
+        data = [(t or "").encode().lower() for t in table.column("text").to_pylist()]
+        sets = [shingle_hashes(words, width) for words in hasher.each(data)]
+        is_probe = table.column("is_probe").to_pylist()
+        reps, component = (np.asarray(table.column(n)) for n in ("rep", "component"))
+        bases = [i for i, flag in enumerate(is_probe) if not flag]
+        values = np.concatenate([sets[i] for i in bases]) if bases else np.zeros(0, np.uint64)
+        lengths = np.array([len(sets[i]) for i in bases])
+        owner = np.repeat(np.arange(len(bases)), lengths)
+        a, b = [], []
+        for i in (i for i, flag in enumerate(is_probe) if flag):
+            own = sets[i]
+            at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            common = np.bincount(owner[own[at] == values], minlength=len(bases))
+            linked = np.flatnonzero(100 * common >= percent * (len(own) + lengths - common))
+            met = {component[i]}
+            for j in linked:
+                if component[bases[j]] not in met:
+                    mine, other = (shingles_of(data[k].split(), width) for k in (i, bases[j]))
+                    shared = len(mine & other)
+                    if 100 * shared >= percent * (len(mine) + len(other) - shared):
+                        met.add(component[bases[j]])
+                        a.append(min(reps[i], reps[bases[j]]))
+                        b.append(max(reps[i], reps[bases[j]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    both = dealt(open_.where(probe), "probes", "bases").union(dealt(open_, "bases", "probes"))
+    linked = (
+        both.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+        .groupBy("hub", "p", "b")
+        .applyInArrow(compare, "a LONG, b LONG")
+    )
+    return saved(spark, linked, "inside")
+
+
 def _list_pairs(
-    spark: SparkSession, classes: DataFrame, components: DataFrame, size: int, percent: int
+    spark: SparkSession,
+    classes: DataFrame,
+    clusters: DataFrame,
+    components: DataFrame,
+    size: int,
+    percent: int,
 ) -> DataFrame:
-    """``(a, b)`` of different components that meet in an inverted list."""
+    """``(a, b)`` of different components and clusters that meet in an inverted list."""
     values = classes.select("rep", "n", F.explode("sketch").alias("value"))
     shared = saved(
         spark,
@@ -252,8 +356,14 @@ def _list_pairs(
     ).select("rep", "n", F.col("at.value").alias("value"))
     lists = saved(
         spark,
-        listed.join(components.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "value", "rep", "n", F.coalesce("component", "rep").alias("component")
+        listed.join(components.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(clusters, "rep", "left")
+        .select(
+            "value",
+            "rep",
+            "n",
+            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("hub", "rep").alias("hub"),
         ),
         "lists",
     )
@@ -274,6 +384,7 @@ def _list_pairs(
             (F.col("left.value") == F.col("right.value"))
             & (F.col("left.rep") < F.col("right.rep"))
             & (F.col("left.component") != F.col("right.component"))
+            & (F.col("left.hub") != F.col("right.hub"))
             & (F.col("left.n") * 100 >= F.col("right.n") * percent)
             & (F.col("right.n") * 100 >= F.col("left.n") * percent),
         )
@@ -282,16 +393,10 @@ def _list_pairs(
     )
 
 
-def _confirmed(
-    spark: SparkSession,
-    docs: DataFrame,
-    classes: DataFrame,
-    pairs: DataFrame,
-    width: int,
-    percent: int,
-    size: int,
+def _likely(
+    spark: SparkSession, classes: DataFrame, pairs: DataFrame, percent: int, size: int
 ) -> DataFrame:
-    """The pairs of classes whose shingle sets are similar enough, as ``(a, b)``."""
+    """The pairs that the sketch of their union does not rule out."""
     pairs = saved(spark, pairs, "pairs")
     sketch = classes.select("rep", "n", "sketch")
     both = (
@@ -305,7 +410,13 @@ def _confirmed(
         F.size(F.array_union("sketch_a", "sketch_b")) <= size,
         F.size(union) * percent / 100 - 1e-6,
     ).otherwise(F.lit(float(least_overlap(size, percent))))
-    likely = saved(spark, both.where(overlap >= least).select("a", "b"), "likely")
+    return saved(spark, both.where(overlap >= least).select("a", "b"), "likely")
+
+
+def _confirmed(
+    spark: SparkSession, docs: DataFrame, likely: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """The pairs of classes whose shingle sets are similar enough, as ``(a, b)``."""
     ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
     texts = saved(spark, rows_of(docs, saved(spark, ends, "ends")).distinct(), "texts")
 
