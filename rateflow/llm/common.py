@@ -28,7 +28,7 @@ def saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     again, and joins of such tables can be split where a key is hot.
     """
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -115,7 +115,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 
 _ROW = (
-    "part INT, at STRING, doc_id LONG, n_chars LONG, edited_sha256 STRING,"
+    "part INT, at STRING, doc_id LONG, n_chars LONG, edited_sha256 BINARY,"
     " fingerprint BINARY, edited_fingerprint BINARY, near_edited DOUBLE, near_next DOUBLE, text STRING"
 )
 
@@ -191,7 +191,7 @@ def edited_neighbours(spark: SparkSession, docs: DataFrame) -> DataFrame:
         .select(
             "doc_id",
             "n_chars",
-            "edited_sha256",
+            F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
             F.lower(F.hex("fingerprint")).alias("fingerprint"),
             F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
             "near_edited",
@@ -213,7 +213,7 @@ def _compare(own: tuple, following: tuple) -> tuple:
     return (
         doc_id,
         len(text),
-        hashlib.sha256(changed.encode()).hexdigest(),
+        hashlib.sha256(changed.encode()).digest(),
         bytes.fromhex(print_.hex()),
         bytes.fromhex(changed_print.hex()),
         print_.likeness(changed_print),
@@ -227,7 +227,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
         ("at", pa.string()),
         ("doc_id", pa.int64()),
         ("n_chars", pa.int64()),
-        ("edited_sha256", pa.string()),
+        ("edited_sha256", pa.binary()),
         ("fingerprint", pa.binary()),
         ("edited_fingerprint", pa.binary()),
         ("near_edited", pa.float64()),
