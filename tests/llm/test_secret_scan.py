@@ -82,8 +82,8 @@ def test_redaction_keeps_rows_and_columns(spark, documents):
     ]
 
 
-def test_query_uses_no_python_on_executors(spark, sf_dir):
-    scored = REGISTRY["op5_secret_scans"](spark, sf_dir)
+def test_query_uses_no_python_on_executors(spark):
+    scored = REGISTRY["op5_secret_scans"](spark, "/root/testdata/sf0.01")
     plan = scored._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
     rows = scored.collect()
