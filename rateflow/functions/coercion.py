@@ -12,14 +12,14 @@ MISSING_TOKENS = [
     "nan", "null",
 ]
 
-# Years a 64-bit nanosecond timestamp holds in full, 1678 to 2261. A date
-# outside them counts as unparseable, so one series has at most 213,301 days:
-# every per-series window and the date dimension rest on that bound.
-MAX_DAYS = 213_301
+# The first and last day that a 64-bit nanosecond timestamp holds
+# in full. A file with a date outside them is rejected, so one series has at most
+# 213,503 days: every per-series window and the date dimension rest on that bound.
+FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
+MAX_DAYS = 213_503
 
 _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
-_YEAR = r"(16(7[89]|[89]\d)|1[7-9]\d\d|2[01]\d\d|22([0-5]\d|6[01]))"
-_ISO_DATE = rf"^{_YEAR}(-\d{{1,2}}){{0,2}}$"
+_ISO_DATE = r"^\s*(\d{4}(?:-\d{1,2}(?:-\d{1,2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?)?)?)?)\s*$"
 
 
 def missing_to_null(text: Column) -> Column:
@@ -40,11 +40,24 @@ def to_number(text: Column) -> Column:
     return F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
 
 
+def calendar_day(text: Column) -> Column:
+    """ISO date text to DATE (months and years start on day one), else NULL.
+
+    Spaces around and a time of day are left out. The day may be one that no
+    series can hold, see ``to_day``.
+    """
+    day = F.regexp_replace(F.trim(text), "[ T].*$", "")
+    return F.when(text.rlike(_ISO_DATE), day.try_cast("date"))
+
+
 def to_day(text: Column) -> Column:
-    """ISO date text to DATE (months and years start on day one), else NULL."""
-    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
+    """``calendar_day`` from ``FIRST_DAY`` to ``LAST_DAY``, else NULL."""
+    day = calendar_day(text)
+    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)
 
 
 def date_parts(text: Column) -> Column:
-    """How many parts a date text has: 3 for a day, 2 for a month, 1 for a year."""
-    return F.size(F.split(text, "-"))
+    """How many parts a date text has: 1 for a year, 2 for a month, 3 for a day,
+    4 for a day and a time."""
+    timed = text.rlike(r"\S[ T]\d").cast("int")
+    return F.size(F.split(text, "-")) + timed

@@ -9,8 +9,8 @@ from rateflow.functions.coercion import nan_to_null
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient; NULL when the divisor is zero or either side is NULL."""
-    return F.try_divide(numerator, denominator)
+    """Quotient; NULL when the divisor is zero, either side is NULL, or it is NaN."""
+    return nan_to_null(F.try_divide(numerator, denominator))
 
 
 def paired_count(x: Column, y: Column) -> Column:

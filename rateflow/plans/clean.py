@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
+from rateflow.functions.coercion import calendar_day, date_parts, missing_to_null, to_day, to_number
 from rateflow.operators.dedupe import keep_last
 
 OBSERVATION_KEY = ["series_file", "series_id", "date"]
-_BAD = 1  # the other bits, 2 to 8, stand for one to three date parts
+_BAD, _OUTSIDE = 1, 32  # the other bits, 2 to 16, stand for one to four date parts
 
 
 def typed_observations(raw: DataFrame) -> DataFrame:
@@ -33,14 +33,18 @@ def rejected_files(raw: DataFrame) -> DataFrame:
     """
     text = missing_to_null(F.col("date"))
     layout = F.call_function("shiftleft", F.lit(1), date_parts(text))
-    seen = F.when(text.isNotNull(), F.when(to_day(text).isNull(), _BAD).otherwise(layout))
-    layouts = F.col("seen").bitwiseAND(~_BAD)
+    seen = F.when(
+        text.isNotNull(),
+        F.when(calendar_day(text).isNull(), _BAD).when(to_day(text).isNull(), _OUTSIDE).otherwise(layout),
+    )
+    layouts = F.col("seen").bitwiseAND(~(_BAD | _OUTSIDE))
     return (
         raw.groupBy("series_file")
         .agg(F.bit_or(seen).alias("seen"))
         .select(
             "series_file",
             F.when(F.col("seen").bitwiseAND(_BAD) != 0, "bad_date")
+            .when(F.col("seen").bitwiseAND(_OUTSIDE) != 0, "date_out_of_range")
             .when(F.bit_count(layouts) > 1, "mixed_date_layouts")
             .alias("reason"),
         )

@@ -12,7 +12,7 @@ from rateflow.functions.calendar import (
     period_to_date,
     years_before,
 )
-from rateflow.functions.coercion import MAX_DAYS, date_parts, missing_to_null, to_day, to_number
+from rateflow.functions.coercion import FIRST_DAY, LAST_DAY, MAX_DAYS, date_parts, missing_to_null, to_day, to_number
 from rateflow.functions.statistics import pearson, ratio
 
 
@@ -46,8 +46,8 @@ def test_days(spark, day):
 
 def test_what_is_no_day(spark):
     texts = [
-        "not-a-date", "2024-13-01", "2023-02-29", "2024-01-01 junk", " 2024-01-01", "20240101",
-        "2024-01-01T00:00:00", "1677-12-31", "2262-01-01", "", None,
+        "not-a-date", "2024-13-01", "2023-02-29", "2024-01-01 junk", "20240101", "2024-01-01T00",
+        "1677-09-21", "2262-04-12", "", None,
     ]
     assert evaluate(spark, texts, to_day(F.col("t"))) == [None] * len(texts)
 
@@ -98,4 +98,16 @@ def test_pearson_of_constant_and_single_pairs(spark):
 
 
 def test_the_day_bound(day):
-    assert (day("2261-12-31") - day("1678-01-01")).days + 1 == MAX_DAYS
+    assert (day(LAST_DAY) - day(FIRST_DAY)).days + 1 == MAX_DAYS
+
+
+def test_days_at_the_bound_and_dates_with_a_time(spark, day):
+    texts = ["1677-09-21", "1677-09-22", "2262-04-11", "2262-04-12", "1677", "2262-04", " 2024-01-01 ",
+             "2024-01-01 00:00:00", "2024-01-01T10:30", "2024-01-01 x", "2024-1-2"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    found = [tuple(r) for r in df.select(to_day(F.col("t")), date_parts(F.col("t"))).collect()]
+    assert [f[0] for f in found] == [
+        None, day("1677-09-22"), day("2262-04-11"), None, None, day("2262-04-01"), day("2024-01-01"),
+        day("2024-01-01"), day("2024-01-01"), None, day("2024-01-02"),
+    ]
+    assert [f[1] for f in found[6:9]] == [3, 4, 4]
