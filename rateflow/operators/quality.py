@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
@@ -29,23 +29,30 @@ def validate_series(
 ) -> DataFrame:
     """Per file: rows, incomplete rows, out-of-order rows, and the verdict.
 
-    ``position`` is the BIGINT arrival order within a file. Rows are compared
-    with their predecessor inside chunks of positions; neighbouring chunks are
-    then compared by their first and last dates, so even one file holding most
-    of the data is spread over many tasks.
+    ``position`` is the arrival order within a file, a whole number. Rows are
+    compared with their predecessor inside chunks of positions, chunks by their
+    first and last dates inside chunks of chunks, and these in the whole file: a
+    file holding most of the data is spread over many tasks at the first two
+    levels, and the third has a row for ``rows_per_chunk`` squared positions.
     """
     check_columns(df)
+
+    def chunk(size: int) -> Column:
+        at = F.col(position).cast("decimal(38,0)")
+        return at - at % F.lit(size).cast("decimal(38,0)")
+
     chunked = df.select(
         "series_file",
-        F.floor(F.col(position) / rows_per_chunk).alias("_chunk"),
+        chunk(rows_per_chunk**2).alias("_group"),
+        chunk(rows_per_chunk).alias("_chunk"),
         F.col(position).alias("_at"),
         "date",
         (F.col("date").isNull() | F.col("value").isNull()).alias("_incomplete"),
     )
-    arrival = Window.partitionBy("series_file", "_chunk").orderBy("_at")
+    arrival = Window.partitionBy("series_file", "_group", "_chunk").orderBy("_at")
     chunks = (
         chunked.withColumn("_falls", F.lag("date").over(arrival) > F.col("date"))
-        .groupBy("series_file", "_chunk")
+        .groupBy("series_file", "_group", "_chunk")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if("_incomplete").alias("null_rows"),
@@ -54,28 +61,53 @@ def validate_series(
             F.max_by("date", "_at").alias("last_date"),
         )
     )
-    neighbours = Window.partitionBy("series_file").orderBy("_chunk")
-    return (
-        chunks.withColumn("_falls", F.lag("last_date").over(neighbours) > F.col("first_date"))
-        .groupBy("series_file")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.sum("null_rows").alias("null_rows"),
-            (F.sum("falls") + F.count_if("_falls")).alias("order_violations"),
+    for level, inside in (("_chunk", ["series_file", "_group"]), ("_group", ["series_file"])):
+        neighbours = Window.partitionBy(*inside).orderBy(level)
+        chunks = (
+            chunks.withColumn("_falls", F.lag("last_date").over(neighbours) > F.col("first_date"))
+            .groupBy(*inside)
+            .agg(
+                F.sum("rows").alias("rows"),
+                F.sum("null_rows").alias("null_rows"),
+                (F.sum("falls") + F.count_if("_falls")).alias("falls"),
+                F.min_by("first_date", level).alias("first_date"),
+                F.max_by("last_date", level).alias("last_date"),
+            )
         )
+    return (
+        chunks.select("series_file", "rows", "null_rows", F.col("falls").alias("order_violations"))
         .withColumn("ok", (F.col("null_rows") == 0) & (F.col("order_violations") == 0))
     )
 
 
-def require_valid(df: DataFrame, position: str) -> DataFrame:
-    """Return ``df`` unchanged, or raise ValueError naming a failing file."""
-    failing = validate_series(df, position).where(~F.col("ok")).first()
-    if failing is not None:
-        raise ValueError(
-            f"series {failing.series_file}: {failing.null_rows} null rows,"
-            f" {failing.order_violations} rows out of date order"
-        )
-    return df
+def table_failures(
+    df: DataFrame, table: str, unique: list[str], not_null: list[str]
+) -> DataFrame:
+    """``(table_name, column_name, test, failures)`` of a table's tests.
+
+    Unique: keys seen more than once, NULL keys not compared. With one unique
+    column all tests come from a single grouped pass over the table.
+    """
+    if len(unique) != 1:
+        return unique_failures(df, table, unique).unionByName(not_null_failures(df, table, not_null))
+    key = unique[0]
+    groups = df.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.count_if(F.col(c).isNull()).alias(f"null {i}") for i, c in enumerate(not_null)),
+    )
+    tests = [("unique", key, F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)))]
+    tests += [
+        ("not_null", c, F.coalesce(F.sum(f"null {i}"), F.lit(0))) for i, c in enumerate(not_null)
+    ]
+    counted = groups.agg(
+        F.array(
+            *(
+                F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"), n.alias("failures"))
+                for t, c, n in tests
+            )
+        ).alias("tests")
+    )
+    return counted.select(F.lit(table).alias("table_name"), F.inline("tests"))
 
 
 def not_null_failures(df: DataFrame, table: str, columns: list[str]) -> DataFrame:

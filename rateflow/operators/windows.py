@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rateflow.functions.coercion import nan_to_null
 from rateflow.functions.statistics import ratio
 from rateflow.operators.years import GROUP, in_year, join_summary, over_years, with_year
 
@@ -89,11 +90,14 @@ def add_changes(
     lags: dict[str, int],
     chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Difference to the value so many rows (not days) before, one per lag."""
+    """Difference to the value so many rows (not days) before, one per lag.
+
+    NULL between two infinite values of one sign.
+    """
 
     def changes(rows: DataFrame, window: WindowSpec) -> DataFrame:
         return rows.withColumns(
-            {name: F.col(value) - F.lag(value, n).over(window) for name, n in lags.items()}
+            {name: nan_to_null(F.col(value) - F.lag(value, n).over(window)) for name, n in lags.items()}
         )
 
     return over_history(df, keys, order, max(lags.values()), changes, chunk_rows)
@@ -105,6 +109,9 @@ def simple_return(value: str, window: WindowSpec) -> Column:
 
 
 def full_window(column: str, aggregate: Column, window: WindowSpec, size: int) -> Column:
-    """Trailing aggregate, NULL until the frame holds ``size`` non-null values."""
+    """Trailing aggregate, NULL until the frame holds ``size`` non-null values.
+
+    An aggregate over infinite values that is not a number is NULL.
+    """
     frame = window.rowsBetween(1 - size, Window.currentRow)
-    return F.when(F.count(column).over(frame) >= size, aggregate.over(frame))
+    return F.when(F.count(column).over(frame) >= size, nan_to_null(aggregate.over(frame)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from rateflow.catalog import EUR_POLICY_SERIES, USD_POLICY_SERIES
+from rateflow.functions.coercion import nan_to_null
 from rateflow.operators.windows import full_window, over_history, simple_return
 from rateflow.schemas import FX_ANALYTICS_MART, RATE_DIFFERENTIAL_MART, YIELD_CURVE_MART
 
@@ -43,7 +44,7 @@ def yield_curve_mart(staged: DataFrame) -> DataFrame:
     def at(maturity: str) -> Column:
         return F.max(F.when(F.col("maturity") == maturity, F.col("value")))
 
-    spread = F.col("yield_10y") - F.col("yield_2y")
+    spread = nan_to_null(F.col("yield_10y") - F.col("yield_2y"))
     return (
         staged.groupBy("rate_date")
         .agg(at("1M").alias("yield_1m"), at("2Y").alias("yield_2y"), at("10Y").alias("yield_10y"))
@@ -64,6 +65,8 @@ def rate_differential_mart(staged: DataFrame) -> DataFrame:
             of(USD_POLICY_SERIES).alias("usd_policy_rate"),
             of(EUR_POLICY_SERIES).alias("eur_policy_rate"),
         )
-        .withColumn("usd_eur_differential", F.col("usd_policy_rate") - F.col("eur_policy_rate"))
+        .withColumn(
+            "usd_eur_differential", nan_to_null(F.col("usd_policy_rate") - F.col("eur_policy_rate"))
+        )
         .select(RATE_DIFFERENTIAL_MART.names)
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
-from rateflow.operators.quality import not_null_failures, unique_failures
+from rateflow.operators.quality import table_failures
 from rateflow.plans import marts, staging
 from rateflow.plans.star import star_schema
 from rateflow.sources.tables import save_bucketed, save_table
@@ -45,7 +47,10 @@ def build_all(
     series_files: DataFrame | None = None,
     buckets: int = 8,
 ) -> None:
-    """Write star tables and mart tables to a database; staging stays a view.
+    """Write star tables, mart tables and the data tests' result to a database.
+
+    Staging becomes views of the session under their own names; the result of the
+    data tests is the table ``data_tests``.
 
     ``observations`` should be a scan of written files: five tables read it.
     The market fact is bucketed by series, so staging and marts window it
@@ -59,16 +64,20 @@ def build_all(
     staged = staging_models({name: spark.table(f"{database}.{name}") for name in STAR_TABLES})
     for name, view in staged.items():
         view.createOrReplaceTempView(name)
+    built = {}
     for name, mart in mart_models(staged).items():
-        save_table(mart, f"{database}.{name}")
+        if name == "fx_analytics_mart":
+            save_bucketed(mart, f"{database}.{name}", buckets, "series_id", "rate_date")
+        else:
+            save_table(mart, f"{database}.{name}")
+        built[name] = spark.table(f"{database}.{name}")
+    save_table(data_tests({**staged, **built}), f"{database}.data_tests")
 
 
 def data_tests(models: dict[str, DataFrame]) -> DataFrame:
     """Failure counts of every declared uniqueness and not-null test."""
-    results: DataFrame | None = None
-    for table, unique, not_null in DATA_TESTS:
-        both = unique_failures(models[table], table, unique).unionByName(
-            not_null_failures(models[table], table, not_null)
-        )
-        results = both if results is None else results.unionByName(both)
-    return results
+    results = [
+        table_failures(models[table], table, unique, not_null)
+        for table, unique, not_null in DATA_TESTS
+    ]
+    return reduce(DataFrame.unionByName, results)

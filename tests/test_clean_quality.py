@@ -94,11 +94,15 @@ def test_validation_report(spark, rows, rows_per_chunk):
     ]
 
 
-def test_require_valid(spark):
-    good = _series(spark, [("A", "2024-01-01", 1.0), ("A", "2024-01-02", 2.0)])
-    assert quality.require_valid(good, "position") is good
-    with pytest.raises(ValueError, match="series A"):
-        quality.require_valid(_series(spark, [("A", "2024-01-02", 1.0), ("A", "2024-01-01", 2.0)]), "position")
+def test_arrival_order_across_chunks_of_chunks(spark):
+    days = [f"2024-01-{d:02d}" for d in range(1, 29)]
+    days[9], days[10] = days[10], days[9]
+    days[4], days[16] = days[16], days[4]
+    readings = _series(spark, [("A", day, 1.0) for day in days])
+    falls = sum(a > b for a, b in zip(days, days[1:]))
+    for size in (2, 3, 1000):
+        found = quality.validate_series(readings, "position", rows_per_chunk=size).first()
+        assert (found["rows"], found["order_violations"]) == (28, falls)
 
 
 @pytest.mark.parametrize(
@@ -118,3 +122,5 @@ def test_table_tests(spark, rows):
     table = spark.createDataFrame([("a", 1), ("a", None), (None, 2), (None, 3), ("b", 4)], "k STRING, v INT")
     assert rows(quality.unique_failures(table, "t", ["k", "v"])) == [("t", "k", "unique", 1), ("t", "v", "unique", 0)]
     assert rows(quality.not_null_failures(table, "t", ["k", "v"])) == [("t", "k", "not_null", 2), ("t", "v", "not_null", 1)]
+    both = quality.table_failures(table, "t", ["k"], ["k", "v"])
+    assert rows(both) == [("t", "k", "not_null", 2), ("t", "k", "unique", 1), ("t", "v", "not_null", 1)]
