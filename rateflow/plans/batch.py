@@ -11,6 +11,7 @@ import logging
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.plans.clean import clean_observations, deduplicated, parse_observations, rejected_files
@@ -43,9 +44,13 @@ def landed_observations(
     for path in sdmx_paths:
         try:
             raw = raw_csv.read_sdmx_csv(spark, path)
-        except ValueError as error:
+        except (ValueError, AnalysisException) as error:
+            missing = isinstance(error, AnalysisException)
+            if missing and error.getCondition() != "PATH_NOT_FOUND":
+                raise
             logger.warning("skipped %s: %s", path, error)
-            rejected.append(spark.createDataFrame([(path, "no_observations")], REJECTED_FILES))
+            reason = "missing" if missing else "no_observations"
+            rejected.append(spark.createDataFrame([(path, reason)], REJECTED_FILES))
             continue
         parsed.append(parse_observations(raw))
         rejected.append(rejected_files(raw))

@@ -6,6 +6,7 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -13,12 +14,14 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# POSITION orders the rows of a file: part number, byte offset, row.
 _TYPES: dict[str, DataType] = {
     "BIGINT": LongType(),
     "BOOLEAN": BooleanType(),
     "DATE": DateType(),
     "DOUBLE": DoubleType(),
     "INT": IntegerType(),
+    "POSITION": DecimalType(38, 0),
     "STRING": StringType(),
 }
 
@@ -33,7 +36,7 @@ def _table(columns: str) -> StructType:
 
 
 RAW_OBSERVATIONS = _table(
-    "series_file STRING, date STRING, value STRING, series_id STRING, position BIGINT"
+    "series_file STRING, date STRING, value STRING, series_id STRING, position POSITION"
 )
 OBSERVATIONS = _table(
     "series_file STRING, series_id STRING, date DATE, value DOUBLE"

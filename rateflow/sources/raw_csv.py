@@ -9,26 +9,26 @@ from pyspark.sql import functions as F
 from rateflow.schemas import RAW_OBSERVATIONS
 
 _CSV_SCHEMA = "date STRING, value STRING, series_id STRING"
-_ROW_BITS = 33
+_ROW_BITS = 33  # those of monotonically_increasing_id that count rows
 
 
 def file_stem() -> Column:
     return F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
 
 
-def file_position(spark: SparkSession) -> Column:
-    """BIGINT which grows with a row's place in its file, also in a split file.
+def file_position(part: Column | None = None) -> Column:
+    """DECIMAL which grows with a row's place: ``part``, byte offset, row.
 
-    A scan cuts a file into blocks of at least ``smallest`` bytes, so the block
-    number orders rows across blocks; the row counter orders them inside one.
+    A scan cuts a file into blocks; the offset of a block orders rows across
+    blocks, however large they are, and the row counter inside one. A fixed-width
+    number, so that keep-last can hash.
     """
-    smallest = min(
-        _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
-        _bytes(spark.conf.get("spark.sql.files.openCostInBytes")),
-    )
-    block = F.floor(F.col("_metadata.file_block_start") / F.lit(smallest))
-    row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
-    return F.shiftleft(block, _ROW_BITS) + row
+    offset = F.col("_metadata.file_block_start").cast("decimal(19,0)")
+    row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1).cast("decimal(10,0)")
+    place = offset * F.lit("1" + "0" * 10).cast("decimal(11,0)") + row
+    if part is not None:
+        place = place + part.cast("decimal(8,0)") * F.lit("1" + "0" * 29).cast("decimal(30,0)")
+    return place.cast("decimal(38,0)")
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -45,29 +45,34 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
         "date",
         "value",
         "series_id",
-        file_position(spark).alias("position"),
+        file_position().alias("position"),
     )
 
 
 def list_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(series_file)`` of every CSV in a directory; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(path)
-        .select(file_stem().alias("series_file"))
-    )
+    """``(series_file)`` of every CSV in a directory; contents are not read.
+
+    A missing directory holds none.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "series_file STRING")
+    return files.select(file_stem().alias("series_file"))
 
 
 def write_raw_csv(raw: DataFrame, path: str) -> None:
-    """One sub-directory per series file, with no shuffle.
+    """One sub-directory per series file.
 
-    Rows stay in arrival order: tasks already are, and sorting by file and
-    position inside a task spares the writer a sort by file alone, which could
-    swap rows.
+    Rows are range-partitioned by file and position: a file is written by the few
+    tasks that hold its range, so there are hardly more files than series and
+    tasks together, and part files are consecutive.
     """
     (
-        raw.sortWithinPartitions("series_file", "position")
+        raw.repartitionByRange("series_file", "position")
+        .sortWithinPartitions("series_file", "position")
         .select("series_file", "date", "value", "series_id")
         .write.partitionBy("series_file")
         .mode("overwrite")
@@ -83,7 +88,7 @@ def read_partitioned_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     if scan is None:
         return spark.createDataFrame([], RAW_OBSERVATIONS)
     return scan.select(
-        "series_file", "date", "value", "series_id", _part_position(spark).alias("position")
+        "series_file", "date", "value", "series_id", file_position(_part_number()).alias("position")
     )
 
 
@@ -104,7 +109,7 @@ def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"{path}: not an observation CSV, no {missing}")
     partitioned = "series_file" in scan.columns
     series = F.col("series_file").cast("string") if partitioned else file_stem()
-    position = _part_position(spark) if partitioned else file_position(spark)
+    position = file_position(_part_number() if partitioned else None)
     return scan.select(
         series.alias("series_file"),
         F.col("TIME_PERIOD").alias("date"),
@@ -114,9 +119,12 @@ def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _part_position(spark: SparkSession) -> Column:
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)
-    return F.struct(part.try_cast("bigint").alias("part"), file_position(spark).alias("row"))
+def _part_number() -> Column:
+    """Number of a written part and of its piece, where the writer made several."""
+    name = F.col("_metadata.file_name")
+    part = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")
+    piece = F.regexp_extract(name, r"[-.]c(\d+)\.", 1).try_cast("bigint")
+    return F.coalesce(part, F.lit(0)) * 1000 + F.coalesce(piece, F.lit(0))
 
 
 def _scan(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame | None:
@@ -130,11 +138,3 @@ def _scan(spark: SparkSession, path: str, schema: str, **options: str) -> DataFr
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def _bytes(setting: str) -> int:
-    text = setting.strip().lower().removesuffix("b")
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    if text and text[-1] in units:
-        return int(text[:-1]) << units[text[-1]]
-    return int(text)
