@@ -1,68 +1,67 @@
-"""Business questions as named SQL over the marts."""
+"""Business questions by name, as frames over the marts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-class NamedQueries:
-    """Name to SQL text; a name is registered once and with a body."""
+from rateflow.catalog import VOLATILITY_PAIRS
+from rateflow.plans.reports import recent_differential
 
-    def __init__(self) -> None:
-        self._texts: dict[str, str] = {}
+#: Gives a mart by its name.
+Marts = Callable[[str], DataFrame]
+_VOLATILITY = "rolling_volatility_30d"
 
-    def register(self, name: str, sql: str) -> None:
-        if name in self._texts:
-            raise ValueError(f"duplicate query name {name!r}")
-        code = [line for line in sql.splitlines() if not line.strip().startswith("--")]
-        if not "".join(code).strip():
-            raise ValueError(f"query {name!r} has no SQL body")
-        self._texts[name] = sql
 
-    def names(self) -> list[str]:
-        return sorted(self._texts)
+def recent_policy_differential(marts: Marts, as_of: Column | None) -> DataFrame:
+    return recent_differential(marts("rate_differential_mart"), as_of).orderBy("rate_date")
 
-    def run(self, spark: SparkSession, name: str, **params: object) -> DataFrame:
-        """The query as a lazy frame; ``as_of`` (a date) defaults to today."""
-        if name not in self._texts:
-            raise KeyError(f"unknown query {name!r}; known: {self.names()}")
-        return spark.sql(self._texts[name], args={"as_of": None, **params})
 
-    def run_all(self, spark: SparkSession, **params: object) -> dict[str, DataFrame]:
-        return {name: self.run(spark, name, **params) for name in self._texts}
+def pair_volatility(marts: Marts, as_of: Column | None = None) -> DataFrame:
+    compared = marts("fx_analytics_mart").where(F.col("series_id").isin(*VOLATILITY_PAIRS))
+    return compared.select("series_id", "rate_date", _VOLATILITY).orderBy("series_id", "rate_date")
 
 
-BUSINESS_QUERIES = NamedQueries()
+def pair_volatility_summary(marts: Marts, as_of: Column | None = None) -> DataFrame:
+    figures = {"observations": F.count, "avg_volatility_30d": F.avg,
+               "min_volatility_30d": F.min, "max_volatility_30d": F.max}
+    return (
+        marts("fx_analytics_mart")
+        .where(F.col("series_id").isin(*VOLATILITY_PAIRS))
+        .groupBy("series_id")
+        .agg(*(figure(_VOLATILITY).alias(name) for name, figure in figures.items()))
+        .orderBy("series_id")
+    )
 
-BUSINESS_QUERIES.register(
-    "usd_eur_differential_5y",
-    """
-    SELECT rate_date, usd_policy_rate, eur_policy_rate, usd_eur_differential
-    FROM rate_differential_mart
-    WHERE rate_date >= add_months(coalesce(CAST(:as_of AS DATE), current_date()), -60)
-    ORDER BY rate_date
-    """,
-)
-BUSINESS_QUERIES.register(
-    "fx_volatility_eur_usd_vs_usd_brl",
-    """
-    SELECT series_id, rate_date, rolling_volatility_30d
-    FROM fx_analytics_mart
-    WHERE series_id IN ('DEXUSEU', 'DEXBZUS')
-    ORDER BY series_id, rate_date
-    """,
-)
-BUSINESS_QUERIES.register(
-    "fx_volatility_eur_usd_vs_usd_brl_summary",
+
+BUSINESS_QUERIES: dict[str, Callable[[Marts, Column | None], DataFrame]] = {
+    "usd_eur_differential_5y": recent_policy_differential,
+    "fx_volatility_eur_usd_vs_usd_brl": pair_volatility,
+    "fx_volatility_eur_usd_vs_usd_brl_summary": pair_volatility_summary,
+}
+
+
+def run_named(
+    spark: SparkSession,
+    name: str,
+    as_of: dt.date | str | None = None,
+    marts: Marts | None = None,
+) -> DataFrame:
+    """The named question as a lazy frame.
+
+    ``as_of`` defaults to today; marts are tables of the current database unless
+    ``marts`` gives them.
     """
-    SELECT series_id,
-           count(rolling_volatility_30d) AS observations,
-           avg(rolling_volatility_30d) AS avg_volatility_30d,
-           min(rolling_volatility_30d) AS min_volatility_30d,
-           max(rolling_volatility_30d) AS max_volatility_30d
-    FROM fx_analytics_mart
-    WHERE series_id IN ('DEXUSEU', 'DEXBZUS')
-    GROUP BY series_id
-    ORDER BY series_id
-    """,
-)
+    if name not in BUSINESS_QUERIES:
+        raise KeyError(f"unknown query {name!r}; known: {sorted(BUSINESS_QUERIES)}")
+    day = None if as_of is None else F.lit(as_of).cast("date")
+    return BUSINESS_QUERIES[name](marts or spark.table, day)
+
+
+def run_all_named(
+    spark: SparkSession, as_of: dt.date | str | None = None, marts: Marts | None = None
+) -> dict[str, DataFrame]:
+    return {name: run_named(spark, name, as_of, marts) for name in BUSINESS_QUERIES}

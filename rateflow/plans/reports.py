@@ -143,6 +143,8 @@ def recent_differential(rate_differential: DataFrame, as_of: Column | None = Non
 
 
 def filled_policy_rates(rate_differential: DataFrame) -> DataFrame:
+    """Gaps filled from the rows given: pass ``recent_differential`` of the mart for
+    the five-year chart, so that nothing is carried in from before it."""
     return forward_fill(
         rate_differential, "rate_date", ["usd_policy_rate", "eur_policy_rate", "usd_eur_differential"]
     )

@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from workload import oracle
 from workload.check import TABLES, compare
+from workload.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -21,7 +23,9 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert REGISTRY.keys() == oracle.oracle_sql().keys()
+    assert REGISTRY.keys() <= driver.queries().keys()
+    assert REGISTRY.keys() <= driver.oracle_sql().keys()
 
 
 def test_entry(spark):
@@ -29,6 +33,6 @@ def test_entry(spark):
     assert result.columns[0] == "series_id" and result.count() == 2
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, connection, name):
     assert compare(spark, connection, name, SF_DIR).startswith("ok")

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from rateflow import schemas
 from rateflow.plans import reports
-from rateflow.plans.named_queries import BUSINESS_QUERIES, NamedQueries
+from rateflow.plans.marts import fx_analytics_mart
+from rateflow.plans.named_queries import run_all_named, run_named
+from rateflow.plans.staging import stg_fx_rates
+from rateflow.plans.star import star_schema
 
 
 # Inversions
@@ -206,33 +209,39 @@ def test_headline(spark, curve, day):
 
 # Named queries
 
-def test_registry_errors():
-    queries = NamedQueries()
-    queries.register("a", "-- why\nSELECT 1 AS one")
-    with pytest.raises(ValueError, match="duplicate"):
-        queries.register("a", "SELECT 2")
-    for body in ("", "  \n", "-- only a comment\n  -- another"):
-        with pytest.raises(ValueError, match="no SQL body"):
-            queries.register("b", body)
-    assert queries.names() == ["a"]
-
-
-def test_registry_runs(spark):
-    queries = NamedQueries()
-    queries.register("one", "SELECT 1 AS n")
-    queries.register("two", "SELECT :n AS n")
-    assert queries.run(spark, "one").first().n == 1
-    assert {name: df.first().n for name, df in queries.run_all(spark, n=2).items()} == {"one": 1, "two": 2}
-    with pytest.raises(KeyError, match="known.*one.*two"):
-        queries.run(spark, "three")
+def test_unknown_name(spark):
+    with pytest.raises(KeyError, match="known.*usd_eur_differential_5y"):
+        run_named(spark, "three")
 
 
 def test_business_queries_on_marts(spark, rows, day):
-    spark.createDataFrame([(day("2019-01-01"), 1.0, 1.0, 0.0), (day("2024-01-01"), 5.0, 4.0, 1.0)], schemas.RATE_DIFFERENTIAL_MART).createOrReplaceTempView("rate_differential_mart")
+    differential = spark.createDataFrame([(day("2019-01-01"), 1.0, 1.0, 0.0), (day("2024-01-01"), 5.0, 4.0, 1.0)], schemas.RATE_DIFFERENTIAL_MART)
     fx = _fx(spark, "DEXUSEU", [0.0, 0.1], 2.0).union(_fx(spark, "DEXBZUS", [0.0], None)).union(_fx(spark, "DEXJPUS", [0.0], 1.0))
-    fx.createOrReplaceTempView("fx_analytics_mart")
-    found = BUSINESS_QUERIES.run_all(spark, as_of=day("2024-06-01"))
+    marts = {"rate_differential_mart": differential, "fx_analytics_mart": fx}.get
+    found = run_all_named(spark, day("2024-06-01"), marts)
     assert rows(found["usd_eur_differential_5y"]) == [(day("2024-01-01"), 5.0, 4.0, 1.0)]
     assert [r.series_id for r in found["fx_volatility_eur_usd_vs_usd_brl"].collect()] == ["DEXBZUS", "DEXUSEU", "DEXUSEU"]
     assert rows(found["fx_volatility_eur_usd_vs_usd_brl_summary"]) == [("DEXBZUS", 0, None, None, None), ("DEXUSEU", 2, 2.0, 2.0, 2.0)]
-    assert BUSINESS_QUERIES.run(spark, "usd_eur_differential_5y").columns == schemas.RATE_DIFFERENTIAL_MART.names
+    assert run_named(spark, "usd_eur_differential_5y", marts=marts).columns == schemas.RATE_DIFFERENTIAL_MART.names
+
+
+def test_infinite_prices_give_no_nan(spark, rows, day):
+    """Two infinite prices, kept as values, make neither NaN nor outlier days."""
+    import datetime as dt
+
+    inf = float("inf")
+    values = [100.0 + i % 7 for i in range(80)]
+    values[40] = values[41] = inf
+    start = day("2024-01-01")
+    readings = spark.createDataFrame(
+        [("DEXUSEU", "DEXUSEU", start + dt.timedelta(i), v) for i, v in enumerate(values)],
+        schemas.OBSERVATIONS,
+    )
+    star = star_schema(readings)
+    mart = fx_analytics_mart(stg_fx_rates(star))
+    scored = reports.rolling_zscore(mart)
+    numbers = ["change_1d", "change_1w", "change_1m", "daily_return", "rolling_volatility_30d",
+               "rolling_mean_return_30d", "z_score"]
+    bad = " OR ".join(f"isnan({c})" for c in numbers)
+    assert scored.where(bad).count() == 0
+    assert reports.volatility_report(mart).count() == 0

@@ -236,7 +236,7 @@ QUERIES: dict[str, str] = {
         WHERE series_id IN ('DGS10', 'DEXBZUS', 'FEDFUNDS')
           AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""",
     "ingest_wide_unpivot": _DERIV.format("dataset"),
-    "ingest_wide_csv": _DERIV.format("dataset") + " WHERE dataset = 'BIS_OTC_DERIV'",
+    "ingest_wide_csv": _DERIV.format("dataset"),
     "ingest_zip_archive": _DERIV.format("nation"),
     "period_labels": f"""
         SELECT o_orderkey, label, kind < 9 AS is_period, date FROM (
@@ -304,7 +304,8 @@ QUERIES: dict[str, str] = {
         SELECT pair, basis, {_r('correlation')} AS correlation, observations,
                basis = 'change' AND observations < 5 AS low_sample FROM correlations""",
     "rates_ffill": "SELECT rate_date, " + ", ".join(
-        _FILL.format(c) for c in ("usd_policy_rate", "eur_policy_rate", "usd_eur_differential")) + " FROM diff_mart",
+        _FILL.format(c) for c in ("usd_policy_rate", "eur_policy_rate", "usd_eur_differential"))
+        + " FROM diff_mart WHERE rate_date >= CAST(DATE '2001-12-31' - INTERVAL 5 YEAR AS DATE)",
     "rate_fx_ffill": "SELECT rate_date, " + ", ".join(
         _FILL.format(c) for c in ("usd_policy_rate", "usdbrl_spot_rate")) + " FROM rate_fx",
     "headline": f"""

@@ -15,7 +15,7 @@ from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_
 from rateflow.operators.quality import validate_series
 from rateflow.operators.windows import add_changes, full_window, over_history, simple_return
 from rateflow.plans import clean, marts, pipeline, reports, star
-from rateflow.plans.named_queries import BUSINESS_QUERIES
+from rateflow.plans.named_queries import run_named
 from rateflow.session import scratch_path
 from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
 from workload import views
@@ -54,8 +54,16 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star over market series only: what staging and marts are built on."""
-    return star.star_schema(market(spark, sf_dir))
+    """The star over market series only, written: what staging and marts are built on."""
+    tables_by_name = star.star_schema(market(spark, sf_dir))
+    return {
+        name: written(spark, tables_by_name[name], name)
+        for name in ("dim_date", "dim_series", "fact_market_rates")
+    }
+
+
+def market_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.star_schema(market(spark, sf_dir))["fact_market_rates"]
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -195,12 +203,14 @@ def ingest_wide_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingest_wide_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = views.derivative_wide(spark, sf_dir)
-    path = scratch_path(spark, "wide")
-    wide.where(F.col("dataset") == "BIS_OTC_DERIV").drop("dataset", "nation").write.option(
-        "header", True
-    ).csv(path)
-    return wide_tables.read_wide_csv(spark, path, "BIS_OTC_DERIV").drop("position")
+    wide = written(spark, views.derivative_wide(spark, sf_dir), "wide")
+    long = []
+    for name in DERIVATIVE_DATASETS:
+        path = scratch_path(spark, name)
+        own = wide.where(F.col("dataset") == name).drop("dataset", "nation")
+        own.write.option("header", True).csv(path)
+        long.append(wide_tables.read_wide_csv(spark, path, name).drop("position"))
+    return reduce(DataFrame.unionByName, long)
 
 
 @query
@@ -256,7 +266,7 @@ def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_market_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_tables(spark, sf_dir)["fact_market_rates"]
+    return market_fact(spark, sf_dir)
 
 
 @query
@@ -413,7 +423,10 @@ def report_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rates_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.filled_policy_rates(*mart_tables(spark, sf_dir, DIFFERENTIAL))
+    recent = reports.recent_differential(
+        *mart_tables(spark, sf_dir, DIFFERENTIAL), F.lit(AS_OF).cast("date")
+    )
+    return reports.filled_policy_rates(recent)
 
 
 @query
@@ -436,21 +449,21 @@ def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def named_differential_5y(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart_rate_differential(spark, sf_dir).createOrReplaceTempView(DIFFERENTIAL)
-    return BUSINESS_QUERIES.run(spark, "usd_eur_differential_5y", as_of=AS_OF)
+    marts_by_name = {DIFFERENTIAL: mart_rate_differential(spark, sf_dir)}
+    return run_named(spark, "usd_eur_differential_5y", AS_OF, marts_by_name.get)
 
 
 @query
 def named_volatility_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx_mart(spark, sf_dir).createOrReplaceTempView(FX)
-    result = BUSINESS_QUERIES.run(spark, "fx_volatility_eur_usd_vs_usd_brl")
+    marts_by_name = {FX: fx_mart(spark, sf_dir)}
+    result = run_named(spark, "fx_volatility_eur_usd_vs_usd_brl", AS_OF, marts_by_name.get)
     return rounded(result, "rolling_volatility_30d")
 
 
 @query
 def named_volatility_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx_mart(spark, sf_dir).createOrReplaceTempView(FX)
-    result = BUSINESS_QUERIES.run(spark, "fx_volatility_eur_usd_vs_usd_brl_summary")
+    marts_by_name = {FX: fx_mart(spark, sf_dir)}
+    result = run_named(spark, "fx_volatility_eur_usd_vs_usd_brl_summary", AS_OF, marts_by_name.get)
     return rounded(result, "avg_volatility_30d", "min_volatility_30d", "max_volatility_30d")
 
 

@@ -24,7 +24,6 @@ RATE_SERIES = {
     "4-NOT SPECIFIED": "FEDFUNDS",
     "5-LOW": "ECB_DEPOSIT_RATE",
 }
-WIDE_PERIODS = [f"{year}-S{half}" for year in range(1995, 2002) for half in (1, 2)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,10 +108,20 @@ def derivative_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def half_years(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Headings of all half-years from the first order to the last: two a year."""
+    day = F.col("o_orderdate").cast("date")
+    first, last = table(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return []
+    return [f"{year}-S{half}" for year in range(first.year, last.year + 1) for half in (1, 2)]
+
+
 def derivative_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a column per period, plus a column that is none."""
     cells = [
-        F.max(F.when(F.col("period") == p, F.col("value"))).alias(p) for p in WIDE_PERIODS
+        F.max(F.when(F.col("period") == p, F.col("value"))).alias(p)
+        for p in half_years(spark, sf_dir)
     ]
     return (
         derivative_periods(spark, sf_dir)
@@ -181,7 +190,7 @@ def json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One zipped wide CSV per nation: a fixed handful of series each."""
-    header = ["FREQ", "Series", *WIDE_PERIODS]
+    header = ["FREQ", "Series", *half_years(spark, sf_dir)]
 
     def zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
