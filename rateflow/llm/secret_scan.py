@@ -69,7 +69,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     """``(doc_id, nth, candidate, before, after)`` of every candidate in a text.
 
     Texts are marked where candidates are and cut there, so that all of a text's
-    candidates come with their surroundings in one pass. ``nth`` counts from 1.
+    candidates come with their surroundings in one pass: at most 64 code points
+    before and 48 after, none of them of another candidate. ``nth`` counts from 1.
     Null and empty texts have none; repeated rows have theirs each.
     """
     plain = F.translate(F.coalesce("text", F.lit("")), _OPEN + _CLOSE, "  ")
