@@ -25,11 +25,7 @@ DATA_TESTS = [
 
 
 def staging_models(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_fx_rates": staging.stg_fx_rates(star),
-        "stg_interest_rates": staging.stg_interest_rates(star),
-        "stg_yield_curve": staging.stg_yield_curve(star),
-    }
+    return {name: staging.staged(star, name) for name in staging.STAGING_MODELS}
 
 
 def mart_models(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -49,8 +45,8 @@ def build_all(
 ) -> None:
     """Write star tables, mart tables and the data tests' result to a database.
 
-    Staging becomes views of the session under their own names; the result of the
-    data tests is the table ``data_tests``.
+    Staging becomes views of the database; the result of the data tests is its
+    table ``data_tests``.
 
     ``observations`` should be a scan of written files: five tables read it.
     The market fact is bucketed by series, so staging and marts window it
@@ -61,9 +57,8 @@ def build_all(
             save_bucketed(table, f"{database}.{name}", buckets, "series_key", "date_key")
         else:
             save_table(table, f"{database}.{name}")
-    staged = staging_models({name: spark.table(f"{database}.{name}") for name in STAR_TABLES})
-    for name, view in staged.items():
-        view.createOrReplaceTempView(name)
+    staging.create_staging_views(spark, database)
+    staged = {name: spark.table(f"{database}.{name}") for name in staging.STAGING_MODELS}
     built = {}
     for name, mart in mart_models(staged).items():
         if name == "fx_analytics_mart":

@@ -1,58 +1,75 @@
-"""Staging: one category of the fact table, with series and dates attached."""
+"""Staging: one category of the fact table, with series and dates attached.
 
-from __future__ import annotations
+One SELECT for each model serves frames and the lasting views of a database.
+"""
 
-from itertools import chain
+from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.catalog import YIELD_MATURITIES
-from rateflow.functions.calendar import dated_id
 
-_MEASURES = ["value", "change_1d", "change_1w", "change_1m"]
+_MATURITY = " ".join(f"WHEN '{series}' THEN '{name}'" for series, name in YIELD_MATURITIES.items())
 
+#: Model to category, name of its id, and what stands before the currency.
+STAGING_MODELS = {
+    "stg_fx_rates": ("fx_rate", "fx_rate_id", ""),
+    "stg_interest_rates": ("interest_rate", "interest_rate_id", ""),
+    "stg_yield_curve": (
+        "yield",
+        "yield_curve_id",
+        f"CASE f.series_key {_MATURITY} END AS maturity,",
+    ),
+}
 
-def stg_fx_rates(star: dict[str, DataFrame]) -> DataFrame:
-    return _staged(star, "fx_rate", "fx_rate_id")
+# Dates are broadcast outright, being bounded by the calendar; the series of one
+# category are left to AQE, as their number is not. The series id is read off the
+# fact's key, which equals it: a later filter on it then reaches the fact scan and
+# its buckets, and a later window finds them partitioned.
+_SELECT = """
+SELECT /*+ BROADCAST(d) */
+    concat(f.series_key, '_', date_format(d.full_date, 'yyyyMMdd')) AS {id_name},
+    d.full_date AS rate_date, f.series_key AS series_id, s.series_name, {extra}
+    s.currency, s.source, f.value, f.change_1d, f.change_1w, f.change_1m
+FROM {fact} f
+JOIN (SELECT * FROM {series} WHERE category = '{category}') s ON f.series_key = s.series_key
+JOIN {dates} d ON f.date_key = d.date_key
+"""
 
 
-def stg_interest_rates(star: dict[str, DataFrame]) -> DataFrame:
-    return _staged(star, "interest_rate", "interest_rate_id")
+def staging_select(name: str, fact: str, series: str, dates: str) -> str:
+    """The model's SELECT over the named fact and dimensions."""
+    category, id_name, extra = STAGING_MODELS[name]
+    return _SELECT.format(
+        category=category, id_name=id_name, extra=extra, fact=fact, series=series, dates=dates
+    )
 
 
-def stg_yield_curve(star: dict[str, DataFrame]) -> DataFrame:
-    staged = _staged(star, "yield", "yield_curve_id")
-    maturities = F.create_map(*map(F.lit, chain.from_iterable(YIELD_MATURITIES.items())))
-    at = staged.columns.index("currency")
-    return staged.withColumn("maturity", maturities[F.col("series_id")]).select(
-        *staged.columns[:at], "maturity", *staged.columns[at:]
+def staged(star: dict[str, DataFrame], name: str) -> DataFrame:
+    """The model over the frames of a star."""
+    fact = star["fact_market_rates"]
+    return fact.sparkSession.sql(
+        staging_select(name, "{fact}", "{series}", "{dates}"),
+        fact=fact,
+        series=star["dim_series"],
+        dates=star["dim_date"],
     )
 
 
-def _staged(star: dict[str, DataFrame], category: str, id_name: str) -> DataFrame:
-    """Fact joined to its dimensions.
+def create_staging_views(spark: SparkSession, database: str) -> None:
+    """The models as views of the database, over its star tables."""
+    tables = [f"{database}.{name}" for name in ("fact_market_rates", "dim_series", "dim_date")]
+    for name in STAGING_MODELS:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {staging_select(name, *tables)}")
 
-    Dates are broadcast outright, being bounded by the calendar; the series of
-    one category are left to AQE, as their number is not. The series id is read
-    off the fact's key, which equals it: a later filter on it then reaches the
-    fact scan and its buckets, and a later window finds them partitioned.
-    """
-    series = star["dim_series"].where(F.col("category") == category).select(
-        "series_key", "series_name", "currency", "source"
-    )
-    dates = star["dim_date"].select("date_key", F.col("full_date").alias("rate_date"))
-    return (
-        star["fact_market_rates"]
-        .join(series, "series_key")
-        .join(F.broadcast(dates), "date_key")
-        .select(
-            dated_id(F.col("series_key"), F.col("rate_date")).alias(id_name),
-            "rate_date",
-            F.col("series_key").alias("series_id"),
-            "series_name",
-            "currency",
-            "source",
-            *_MEASURES,
-        )
-    )
+
+def stg_fx_rates(star: dict[str, DataFrame]) -> DataFrame:
+    return staged(star, "stg_fx_rates")
+
+
+def stg_interest_rates(star: dict[str, DataFrame]) -> DataFrame:
+    return staged(star, "stg_interest_rates")
+
+
+def stg_yield_curve(star: dict[str, DataFrame]) -> DataFrame:
+    return staged(star, "stg_yield_curve")

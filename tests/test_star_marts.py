@@ -149,7 +149,8 @@ def test_batch_to_tables(spark, small_star, observations, tmp_path, rows):
     assert spark.table("batch.fact_market_rates").count() == 42
     assert spark.table("batch.fact_derivatives").count() == 1
     assert spark.table("batch.fx_analytics_mart").where("rolling_volatility_30d IS NOT NULL").count() == 10
-    assert spark.table("stg_yield_curve").count() == 2
+    assert spark.table("batch.stg_yield_curve").count() == 2
+    assert spark.table("batch.data_tests").where("failures > 0").count() == 0
     curve = read_mart(spark, "batch.yield_curve_mart", ["rate_date", "yield_10y"], ["rate_date"])
     assert [r.yield_10y for r in curve.collect()] == [4.0, 4.1]
     with pytest.raises(FileNotFoundError, match="build the marts first"):

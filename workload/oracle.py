@@ -318,6 +318,23 @@ QUERIES: dict[str, str] = {
                (SELECT count(*) FROM scored WHERE abs(z_score) >= 3) AS outlier_days
         FROM (SELECT * FROM diff_mart WHERE usd_eur_differential IS NOT NULL ORDER BY rate_date DESC LIMIT 1) l,
              (SELECT * FROM inversions ORDER BY trading_days DESC, start_date LIMIT 1) i""",
+    "changes_with_infinite_prices": f"""
+        SELECT series_id, date, CASE WHEN NOT isnan(change) THEN change END AS change_1d,
+               CASE WHEN NOT isnan(change_of) THEN {_r('change_of')} END AS daily_return
+        FROM (SELECT *, value - before AS change, value / nullif(before, 0) - 1 AS change_of
+              FROM (SELECT *, lag(value) OVER (PARTITION BY series_id ORDER BY date) AS before
+                    FROM (SELECT series_id, date, CASE WHEN dayofyear(date) % 5 < 2
+                                 THEN CAST('inf' AS DOUBLE) ELSE value END AS value FROM supplier_obs)))""",
+    "table_tests_with_failures": """
+        WITH flawed AS (SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS key,
+                               CASE WHEN l_quantity > 5 THEN l_quantity END AS quantity FROM lineitem)
+        SELECT 'lineitem' AS table_name, 'key' AS column_name, 'unique' AS test, count(*) AS failures
+        FROM (SELECT key FROM flawed WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1)
+        UNION ALL SELECT 'lineitem', 'key', 'not_null', count(*) FROM flawed WHERE key IS NULL
+        UNION ALL SELECT 'lineitem', 'quantity', 'not_null', count(*) FROM flawed WHERE quantity IS NULL""",
+    "saved_fx_mart": "SELECT series_id, rate_date, spot_rate, daily_return, change_1m FROM fx_mart",
+    "saved_staging_view": "SELECT * FROM stg_yield",
+    "saved_data_tests": _data_tests(),
     "named_differential_5y": """
         SELECT * FROM diff_mart
         WHERE rate_date >= CAST(DATE '2001-12-31' - INTERVAL 5 YEAR AS DATE)""",

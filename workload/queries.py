@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rateflow.catalog import DERIVATIVE_DATASETS
 from rateflow.functions.calendar import is_period_label, period_to_date
 from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
-from rateflow.operators.quality import validate_series
+from rateflow.operators.quality import table_failures, validate_series
 from rateflow.operators.windows import add_changes, full_window, over_history, simple_return
 from rateflow.plans import clean, marts, pipeline, reports, star
 from rateflow.plans.named_queries import run_named
@@ -335,11 +335,7 @@ def data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch written to catalog tables, then counted from them."""
-    path = scratch_path(spark, "observations")
-    tables.write_observations(views.all_observations(spark, sf_dir), path)
-    database = f"rateflow_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
-    pipeline.build_all(spark, tables.read_observations(spark, path), database)
+    database = built_database(spark, sf_dir)
     names = [*pipeline.STAR_TABLES, FX, CURVE, DIFFERENTIAL]
     counts = [
         spark.table(f"{database}.{name}")
@@ -350,6 +346,36 @@ def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def built_database(spark: SparkSession, sf_dir: str) -> str:
+    """Name of a new database with everything the batch writes."""
+    path = scratch_path(spark, "observations")
+    tables.write_observations(views.all_observations(spark, sf_dir), path)
+    database = f"rateflow_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    pipeline.build_all(spark, tables.read_observations(spark, path), database)
+    return database
+
+
+@query
+def saved_fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as its readers see it, from the catalog, in order of its rows."""
+    name = f"{built_database(spark, sf_dir)}.{FX}"
+    columns = ["series_id", "rate_date", "spot_rate", "daily_return", "change_1m"]
+    return tables.read_mart(spark, name, columns, ["series_id", "rate_date"])
+
+
+@query
+def saved_staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging view of the saved database."""
+    return spark.table(f"{built_database(spark, sf_dir)}.stg_yield_curve")
+
+
+@query
+def saved_data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the data tests that the build stores."""
+    return spark.table(f"{built_database(spark, sf_dir)}.data_tests")
+
+
 @query
 def batch_from_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads and wide tables parsed, deduplicated, written, and built upon."""
@@ -501,6 +527,31 @@ def rolling_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rolling(views.fx_observations(spark, sf_dir), 500)
 
 
+@query
+def changes_with_infinite_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes and returns over prices of which some are infinite: NULL, never NaN."""
+    prices = views.supplier_observations(spark, sf_dir).withColumn(
+        "value", F.when(F.dayofyear("date") % 5 < 2, F.lit(float("inf"))).otherwise(F.col("value"))
+    )
+
+    def derived(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        return rows.withColumn("daily_return", simple_return("value", window))
+
+    changed = add_changes(prices, ["series_id"], "date", "value", {"change_1d": 1})
+    result = over_history(changed, ["series_id"], "date", 1, derived)
+    return rounded(result.select("series_id", "date", "change_1d", "daily_return"), "daily_return")
+
+
+@query
+def table_tests_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tests of a table over one that has repeated keys and NULLs."""
+    flawed = views.table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") < 7, F.col("l_orderkey")).alias("key"),
+        F.when(F.col("l_quantity") > 5, F.col("l_quantity")).alias("quantity"),
+    )
+    return table_failures(flawed, "lineitem", ["key"], ["key", "quantity"])
+
+
 @query
 def changes_many_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     observations = views.supplier_observations(spark, sf_dir).drop("series_file")
