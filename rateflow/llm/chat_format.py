@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rateflow.llm.common import sliced
+
 # Strings that chat models take for marks.
 CONTROL = (
     "<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<start_of_turn>",
@@ -185,7 +187,7 @@ def format_records(records: DataFrame, layouts: dict[str, Mapping] | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         names = ["conv_id", "turn", "part", "formatted", "loss_start", "loss_end", "layout"]
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for conv_id, turn, written in zip(*(c.to_pylist() for c in batch.columns)):
                 try:
@@ -241,7 +243,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
             n, turns, chars, loss, length = state
             return (at, n, turns.hexdigest(), chars, loss.hexdigest(), length)
 
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for conv_id, text, start, end in zip(*(c.to_pylist() for c in batch.columns)):
                 if state is None or conv_id != at:

@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,17 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         total = after
 
 
+#: Rows whose Python objects a task holds at a time; Arrow batches may be larger.
+SLICE_ROWS = 512
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, without copying."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def worker_cache() -> dict:
     """What a Python worker keeps between tasks; the caller bounds its size."""
     return vars(sys.modules.setdefault("_rateflow_worker", types.ModuleType("_rateflow_worker")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import connected_components, saved
+from rateflow.llm.common import connected_components, saved, sliced
 
 #: Bound of the vectors which the codebooks are trained on.
 TRAINING_ROWS = 20000
@@ -147,7 +147,7 @@ def keyed_vectors(embeddings: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             vectors, keys = [], []
             for vec_id, label, values in zip(*(c.to_pylist() for c in batch.columns)):
                 usable = vec_id is not None and label is not None and values and None not in values
@@ -210,7 +210,7 @@ def near_duplicates(
         )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             vectors = batch.column("vector").to_pylist()
             widths = np.array([len(v) // 8 for v in vectors], np.int32)
             cells = np.zeros(len(vectors), np.int32)

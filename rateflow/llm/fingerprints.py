@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import saved
+from rateflow.llm.common import saved, sliced
 
 WIDE, NARROW = 4, 128
 _UNITS = re.compile(r"[\r\n]+|(?<=[.!?])[ \t]+")
@@ -99,7 +99,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_units, fingerprint)`` of every row; null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             parts = [units(text or "") for text in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 {
@@ -145,7 +145,7 @@ def edited_neighbours(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = part = None
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for part, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 own = (doc_id, text, Fingerprint.of_text(text))
@@ -178,7 +178,7 @@ def edited_neighbours(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for doc_id, text, next_id, next_text in zip(*(c.to_pylist() for c in batch.columns)):
                 pair = [(i, t, Fingerprint.of_text(t)) for i, t in ((doc_id, text), (next_id, next_text))]

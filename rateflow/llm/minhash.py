@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import WordHasher, connected_components, mixed, rows_of, saved
+from rateflow.llm.common import WordHasher, connected_components, mixed, rows_of, saved, sliced
 
 SKETCH_SIZE = 64
 BANDS, BAND_VALUES = 8, 2
@@ -80,7 +80,7 @@ def sketches(docs: DataFrame, width: int, size: int = SKETCH_SIZE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         residues = np.arange(BANDS, dtype=np.uint64)[:, None]
-        for batch in batches:
+        for batch in sliced(batches):
             texts = ((t or "").encode().lower() for t in batch.column("text").to_pylist())
             sizes, digests, values, bands = [], [], [], []
             for words in hasher.each(texts):
@@ -422,7 +422,7 @@ def _confirmed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_text, last = None, set()
-        for batch in batches:
+        for batch in sliced(batches):
             a, b = [], []
             for id_a, id_b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns)):
                 if last_text is None or text_a != last_text:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import Recent, saved, worker_cache
+from rateflow.llm.common import Recent, saved, sliced, worker_cache
 
 CAPACITY = 2048
 #: Stretches, and words without their punctuation, whose ids a Python worker
@@ -129,7 +129,7 @@ def token_pieces(
             kept[tokenizer_path] = WordTokenizer(tokenizer_path)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             texts = ((text or "").encode() for text in batch.column("text").to_pylist())
             for doc_id, ids in zip(
@@ -290,7 +290,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sequence, offset = plan.place(
                 np.asarray(batch.column("length")), np.asarray(batch.column("number"))
             )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import WordHasher, grouped, logistic, mixed, training_sample
+from rateflow.llm.common import WordHasher, grouped, logistic, mixed, sliced, training_sample
 
 NGRAMS = (3, 4)
 BUCKET_BITS = 16
@@ -100,7 +100,9 @@ def fit(labels: np.ndarray, rows: list[np.ndarray], epochs: int = 40, cost: floa
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
 
     # Scaled indicators over the root of their number: no text weighs by its length.
-    scaled = [ratio[row] / math.sqrt(max(1, len(row))) for row in rows]
+    scaled = [
+        (ratio[row] / math.sqrt(max(1, len(row)))).astype(np.float32) for row in rows
+    ]
     weights, bias = np.zeros(size), 0.0
     signs = np.where(labels == 1, 1.0, -1.0)
     # Both classes count alike, however rare one is.
@@ -153,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS) ->
     sample = training_sample(docs, labels, "quality", max_rows)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = (t.encode() for t in batch.column("text").to_pylist())
             yield pa.record_batch(
                 {
@@ -164,9 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS) ->
             )
 
     def fit_all(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending")])
-        rows = [np.asarray(r.values) for r in table.column("features").combine_chunks()]
-        model = fit(np.asarray(table.column("label")), rows)
+        order = np.argsort(np.asarray(table.column("doc_id")), kind="stable")
+        found = [np.asarray(r.values) for r in table.column("features")]
+        model = fit(np.asarray(table.column("label"))[order], [found[i] for i in order])
         return pa.table(
             {
                 "weights": pa.array([model.weights.tobytes()], pa.binary()),
@@ -201,7 +203,7 @@ def score_documents(docs: DataFrame, model: QualityModel, threshold: float = 0.5
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = scores(batch.column("text").to_pylist(), model)
             yield pa.record_batch(
                 {
@@ -219,7 +221,7 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.5) -> D
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = scores(batch.column(at).to_pylist(), model)
             yield batch.filter(pa.array([s >= threshold for s in found]))
 

@@ -23,6 +23,7 @@ from rateflow.llm.common import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def query(function: Query) -> Query:
@@ -31,6 +32,10 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Texts are long, so Arrow batches are set to a tenth of the
+    default number of rows where the session has that default."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

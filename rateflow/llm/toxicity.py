@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import logistic, training_sample
+from rateflow.llm.common import logistic, sliced, training_sample
 
 # Words looked for whether or not training rows hold them.
 SEED_WORDS = (
@@ -225,7 +225,7 @@ def train(
     )
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for text, label in zip(
                 batch.column("text").to_pylist(), batch.column("label").to_pylist()
             ):
@@ -277,7 +277,7 @@ def train(
         return lexicon
 
     def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [lexicon.measure(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 {
@@ -323,7 +323,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             found = [lexicon.score(t) for t in texts]
             yield pa.record_batch(
@@ -341,7 +341,7 @@ def find_spans(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``(doc_id, start, end, word, weight)`` of every match, in code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [
                 (doc_id, start, end, text[start:end], weight)
                 for doc_id, text in zip(
@@ -365,7 +365,7 @@ def keep_civil(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> Dat
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [lexicon.score(t) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([s < threshold for s in found]))
 
