@@ -376,7 +376,18 @@ def _list_pairs(
         .select("value"),
         "useful",
     )
-    kept = saved(spark, lists.join(useful, "value", "left_semi"), "lists")
+    # A pair comes out at the first value that both list: no earlier one in common.
+    own = ["rep", "n", "component", "hub"]
+    values = F.array_sort(F.collect_set("value")).alias("values")
+    kept = saved(
+        spark,
+        lists.join(useful, "value", "left_semi")
+        .groupBy(*own)
+        .agg(values)
+        .select(*own, "values", F.posexplode("values").alias("at", "value"))
+        .select(*own, "value", F.slice("values", F.lit(1), F.col("at")).alias("earlier")),
+        "lists",
+    )
     left, right = kept.alias("left"), kept.alias("right")
     return (
         left.join(
@@ -386,7 +397,8 @@ def _list_pairs(
             & (F.col("left.component") != F.col("right.component"))
             & (F.col("left.hub") != F.col("right.hub"))
             & (F.col("left.n") * 100 >= F.col("right.n") * percent)
-            & (F.col("right.n") * 100 >= F.col("left.n") * percent),
+            & (F.col("right.n") * 100 >= F.col("left.n") * percent)
+            & ~F.arrays_overlap("left.earlier", "right.earlier"),
         )
         .select(F.col("left.rep").alias("a"), F.col("right.rep").alias("b"))
         .distinct()
