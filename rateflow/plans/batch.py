@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rateflow.plans.clean import clean_observations, deduplicated, parse_observations, rejected_files
 from rateflow.plans.pipeline import build_all
 from rateflow.schemas import REJECTED_FILES
+from rateflow.session import scratch_path
 from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
 
 logger = logging.getLogger(__name__)
@@ -55,7 +56,11 @@ def landed_observations(
         parsed.append(parse_observations(raw))
         rejected.append(rejected_files(raw))
     if archive_path is not None:
-        expanded = wide_tables.expand_archives(wide_tables.read_archives(spark, archive_path))
+        # Written, so that an archive is unpacked once for its rows and its reject.
+        unpacked = wide_tables.expand_archives(wide_tables.read_archives(spark, archive_path))
+        path = scratch_path(spark, "unpacked")
+        unpacked.write.parquet(path)
+        expanded = spark.read.schema(unpacked.schema).parquet(path)
         parsed.append(wide_tables.archive_observations(expanded))
         rejected.append(wide_tables.rejected_archives(expanded))
     if not parsed:
