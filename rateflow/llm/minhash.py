@@ -41,8 +41,10 @@ SKETCH_SIZE = 64
 BANDS, BAND_VALUES = 8, 2
 #: Sets from this size on get bands.
 BAND_SET_SIZE = 4 * BANDS * BAND_VALUES
+#: Share of the union's sketch from which a class joins its smallest one's cluster.
+CLUSTER_SHARE = 0.2
 #: Shingles of a block of cluster members that meets another in one task.
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 100_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH = (
     "doc_id LONG, n_shingles LONG, digest BINARY, sketch ARRAY<LONG>, bands ARRAY<LONG>"
@@ -164,12 +166,14 @@ def near_duplicates(
         ),
         "classes",
     )
-    likely = _likely(spark, classes, _band_pairs(spark, classes), percent, size)
-    found = _confirmed(spark, docs, likely, width, percent)
+    estimated = _estimated(spark, classes, _band_pairs(spark, classes), percent, size)
+    found = _confirmed(spark, docs, _likely(spark, estimated), width, percent)
     # ``hub`` names a class's cluster: every pair with its own hub is decided.
     clusters = saved(
         spark,
-        likely.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("hub")),
+        estimated.where(F.col("overlap") >= CLUSTER_SHARE * F.col("values"))
+        .groupBy(F.col("b").alias("rep"))
+        .agg(F.min("a").alias("hub")),
         "clusters",
     )
     first = connected_components(spark, found)
@@ -177,7 +181,7 @@ def near_duplicates(
     found = found.union(inside)
     second = connected_components(spark, found)
     pairs = _list_pairs(spark, classes, clusters, second, size, percent)
-    likely = _likely(spark, classes, pairs, percent, size)
+    likely = _likely(spark, _estimated(spark, classes, pairs, percent, size))
     found = found.union(_confirmed(spark, docs, likely, width, percent))
     components = connected_components(spark, found)
 
@@ -405,10 +409,14 @@ def _list_pairs(
     )
 
 
-def _likely(
+def _estimated(
     spark: SparkSession, classes: DataFrame, pairs: DataFrame, percent: int, size: int
 ) -> DataFrame:
-    """The pairs that the sketch of their union does not rule out."""
+    """Pairs with the values of their union's sketch, and how many both hold.
+
+    ``likely`` says whether that rules a similar pair out. Pairs with less than
+    ``CLUSTER_SHARE`` in common are left out: they are neither.
+    """
     pairs = saved(spark, pairs, "pairs")
     sketch = classes.select("rep", "n", "sketch")
     both = (
@@ -422,7 +430,20 @@ def _likely(
         F.size(F.array_union("sketch_a", "sketch_b")) <= size,
         F.size(union) * percent / 100 - 1e-6,
     ).otherwise(F.lit(float(least_overlap(size, percent))))
-    return saved(spark, both.where(overlap >= least).select("a", "b"), "likely")
+    made = both.select(
+        "a",
+        "b",
+        overlap.alias("overlap"),
+        F.size(union).alias("values"),
+        (overlap >= least).alias("likely"),
+    )
+    near = F.col("likely") | (F.col("overlap") >= CLUSTER_SHARE * F.col("values"))
+    return saved(spark, made.where(near), "estimated")
+
+
+def _likely(spark: SparkSession, estimated: DataFrame) -> DataFrame:
+    """The pairs that the sketch of their union does not rule out."""
+    return saved(spark, estimated.where("likely").select("a", "b"), "likely")
 
 
 def _confirmed(
