@@ -1,7 +1,7 @@
 """Secret scans: a random forest that tells credentials from look-alikes.
 
-Candidates are long runs with a digit and quoted values that are assigned. Each
-gets features of its length, of the transitions between kinds of characters, of
+Candidates are long runs with a digit and values that are assigned, in quotes or
+not. Each gets features of its length, of the transitions between kinds of characters, of
 how much of it dictionary words cover, of paths, and of the words beside it. A
 forest trained on labelled findings decides. Everything is DataFrame functions.
 """
@@ -23,18 +23,34 @@ TREES, DEPTH = 24, 6
 _BEFORE, _AFTER = 64, 48
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
-# What a candidate is.
-CANDIDATE = (
-    r"((?<=[:=] ?[\"'])[^\"'\s\u0001\u0002]{8,}+"
-    r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+)"
-)
-
 # Words beside candidates.
-CREDENTIAL_WORDS = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential|private)"
+CREDENTIAL_WORDS = (
+    r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth(?!ors?\b)|credential|private)"
+)
 DIGEST_WORDS = r"(?i)(commit|sha-?\d|md5|checksum|digest|etag|revision|uuid|guid|fingerprint)"
 PLACEHOLDER_WORDS = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|redacted|<)"
 NUMBER_WORDS = r"(?i)(phone|tel|fax|card|iban|isbn|account|invoice|order|id|no\.?|number)\W*$"
 
+# What a candidate is. Behind each look for a name stands a cheaper
+# one for its sign, and loops are over classes, so that long values need no stack.
+_SIGN = r"(?::=|=>|[:=])[ \t]{0,4}"
+_NAMED = (
+    rf"(?<=[:=>][ \t]{{0,4}})(?<=[A-Za-z_\"')\]][ \t]{{0,4}}{_SIGN}|[0-9](?:=|[ \t]{{0,4}}[:=][ \t]{{1,4}}))"
+)
+_CREDENTIAL_NAMED = rf"(?<={CREDENTIAL_WORDS}[A-Za-z0-9_.-]{{0,24}}[\"']?[ \t]{{0,4}}{_SIGN})"
+#: To white space; a quote or separator inside counts, one that ends a field does not.
+_PLAIN = r"[^\s\"',;&\u0001\u0002]"
+_INSIDE = r"(?:(?<![,{\[(:=])[\"'](?=[^\s,:;)}\]\"'])|[,;&](?!\"|[\w.-]++[\"']?[:=]))"
+_UNQUOTED = rf"(?!//){_PLAIN}++(?:{_INSIDE}{_PLAIN}*+)*+"
+_RUN = "[A-Za-z0-9+/_-]"
+CANDIDATE = (
+    r"((?<=[:=] ?[\"'])[^\"'\s\u0001\u0002]{8,}+"
+    rf"|{_NAMED}(?=(?:{_PLAIN}|{_INSIDE}){{6}})"
+    rf"(?:(?=(?:{_PLAIN}|{_INSIDE}){{8}})|{_CREDENTIAL_NAMED}){_UNQUOTED}"
+    rf"|(?<!{_RUN})(?=[A-Za-z+/_-]*+[0-9])"
+    rf"(?:{_RUN}{{16,}}+(?!=[^=\s])={{0,2}}+|{_RUN}{{15}}=(?![^=\s])=?+|{_RUN}{{14}}==(?![^=\s])))"
+)
+
 # Forms that their issuers give to credentials.
 ISSUED_FORMS = (
     r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20}"
@@ -42,6 +58,10 @@ ISSUED_FORMS = (
     r"|eyJ[A-Za-z0-9_-]{10,})"
 )
 
+# Values that stand for others, and plain words.
+REFERENCE = r"^[$%]?[({<]|^\$\w+$|^%\w+%$|[A-Za-z0-9_][(\[]"
+PLAIN_WORD = r"^[A-Za-z]?[a-z]+[.,;:!?)\]}]*$"
+
 # The dictionary for coverage.
 DICTIONARY = (
     "about access account address admin after agent alpha also application archive array"
@@ -141,18 +161,21 @@ def _features() -> dict[str, Column]:
 def labelled_findings(found: DataFrame) -> DataFrame:
     """Findings with a ``label``, by what is beyond doubt; others are left out.
 
-    1: an issuer's form, or a mixed value assigned in quotes to a credential's
-    name. 0: a placeholder, a digest that is called one, plain digits, or a run
-    inside a path; those that are no more than digits count whatever is beside.
+    1: an issuer's form, or a mixed value assigned to a credential's name; without
+    quotes it must not be a call or a reference. 0: a placeholder, a digest that is
+    called one, plain digits, a run inside a path, or a plain word assigned to
+    another name; those that are no more than digits count whatever is beside.
     """
     value, before = F.col("candidate"), F.col("before")
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    named = before.rlike(CREDENTIAL_WORDS + r"\w*[\"']?\s*[:=]\s*[\"']$")
+    name = CREDENTIAL_WORDS + r"[\w.-]*[\"']?\s*(:=|=>|[:=])\s*"
+    named = before.rlike(name + r"[\"']$") | (before.rlike(name + "$") & ~value.rlike(REFERENCE))
+    word = value.rlike(PLAIN_WORD) & ~before.rlike(name + r"[\"']?$")
     placeholder = F.concat(before, value).rlike(PLACEHOLDER_WORDS)
     label = (
-        F.when(value.rlike("^[0-9+=/_-]*$") | placeholder, 0)
+        F.when(value.rlike(r"^[0-9+=/_-]*[.,;:!?)\]}]*$") | placeholder, 0)
         .when(value.rlike(ISSUED_FORMS) | (named & mixed), 1)
-        .when(before.rlike(DIGEST_WORDS) | before.rlike(r"[/\\]$"), 0)
+        .when(before.rlike(DIGEST_WORDS) | before.rlike(r"[/\\]$") | word, 0)
     )
     return found.withColumn("label", label).where(F.col("label").isNotNull())
 
