@@ -8,6 +8,9 @@ forest trained on labelled findings decides. Everything is DataFrame functions.
 
 from __future__ import annotations
 
+import base64
+import hashlib
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -20,6 +23,8 @@ from rateflow.llm.common import BROADCAST_IDS, saved
 #: Bound of the labelled findings that the forest is trained on.
 TRAINING_ROWS = 20000
 TREES, DEPTH = 24, 6
+#: Values for each kind of fixed labelled finding.
+FIXED_FINDINGS = 40
 _BEFORE, _AFTER = 64, 48
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
@@ -166,18 +171,61 @@ def labelled_findings(found: DataFrame) -> DataFrame:
     called one, plain digits, a run inside a path, or a plain word assigned to
     another name; those that are no more than digits count whatever is beside.
     """
+    return found.withColumn("label", _rule_label()).where(F.col("label").isNotNull())
+
+
+def _rule_label() -> Column:
     value, before = F.col("candidate"), F.col("before")
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     name = CREDENTIAL_WORDS + r"[\w.-]*[\"']?\s*(:=|=>|[:=])\s*"
     named = before.rlike(name + r"[\"']$") | (before.rlike(name + "$") & ~value.rlike(REFERENCE))
     word = value.rlike(PLAIN_WORD) & ~before.rlike(name + r"[\"']?$")
     placeholder = F.concat(before, value).rlike(PLACEHOLDER_WORDS)
-    label = (
+    return (
         F.when(value.rlike(r"^[0-9+=/_-]*[.,;:!?)\]}]*$") | placeholder, 0)
         .when(value.rlike(ISSUED_FORMS) | (named & mixed), 1)
         .when(before.rlike(DIGEST_WORDS) | before.rlike(r"[/\\]$") | word, 0)
     )
-    return found.withColumn("label", label).where(F.col("label").isNotNull())
+
+
+def fixed_findings(spark: SparkSession) -> DataFrame:
+    """Labelled findings that every input's are joined to, always the same.
+
+    Without them an input that holds credentials only, or none that are beyond
+    doubt, would leave nothing to tell the others by. Values are digests.
+    """
+    rows = []
+    for i in range(FIXED_FINDINGS):
+        digest = hashlib.sha512(b"%d" % i).digest()
+        mixed = base64.b64encode(digest).decode().translate(str.maketrans("+/=", "xYz"))
+        hexed, digits = digest.hex(), str(int.from_bytes(digest, "big"))
+        name = ("token", "secret", "api_key", "password", "access_key", "auth")[i % 6]
+        other = ("title", "note", "status", "path", "name", "version")[i % 6]
+        words = [DICTIONARY[b % len(DICTIONARY)] for b in digest[:3]]
+        size = 8 + i % 33
+        rows += [
+            (1, mixed[:size] + "7a", f'config {name} = "', '" end'),
+            (1, mixed[:size] + "7a", f"export {name.upper()}=", " end"),
+            (1, mixed[: size // 4 + 6] + "!4b", f"{name}: ", ""),
+            (1, mixed[: 24 + size] + "7a", f"{name} ", " end"),
+            (1, mixed[: 24 + size] + "7a", "Authorization: Bearer ", ""),
+            (1, hexed[:40], f'{name} = "', '"'),
+            (1, "".join(words), f"{name.upper()}=", ""),
+            (1, "ghp_" + mixed[:36], "", " "),
+            (1, "AKIA" + hexed[:16].upper(), f"{name} is ", " end"),
+            (0, hexed[: (32, 40, 64)[i % 3]], ("see commit ", "md5 ", "sha256 ")[i % 3], " for that"),
+            (0, hexed[:40], "at http://host/", "/page there"),
+            (0, digits[:16], "card ", " was used"),
+            (0, digits[: 8 + size], f"{other}: ", ""),
+            (0, words[0] + "-" + words[1] + str(2000 + i), f"{other}: ", " and"),
+            (0, words[0] + words[1] + ".", f"{other}: ", " the"),
+            (0, "your_" + name + "_here1", f"{name} = ", ""),
+            (0, "get_" + name + "(" + words[0] + ")", f"{name} = ", ""),
+            (0, "/".join(words) + "/v2", f"{other}=", " "),
+        ]
+    return spark.createDataFrame(
+        rows, "label INT, candidate STRING, before STRING, after STRING"
+    )
 
 
 def train(
@@ -235,10 +283,19 @@ def score(found: DataFrame, model: PipelineModel | None, threshold: float = 0.5)
 def find_secrets(spark: SparkSession, docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Candidates of the documents, scored by a forest trained on the labelled ones.
 
-    The candidates are written once; training and scoring read them there.
+    The input's labelled findings are joined to ``fixed_findings``, so there always
+    is a forest; what is a credential beyond doubt has probability 1 whatever the
+    forest says. The candidates are written once; training and scoring read them
+    there.
     """
     found = saved(spark, candidates(docs), "candidates")
-    return score(found, train(spark, labelled_findings(found)), threshold)
+    columns = ["candidate", "before", "after", "label"]
+    labelled = labelled_findings(found).select(columns)
+    model = train(spark, labelled.union(fixed_findings(spark).select(columns)))
+    probability = F.when(_rule_label() == 1, 1.0).otherwise(F.col("probability"))
+    return score(found, model, threshold).withColumn("probability", probability).withColumn(
+        "is_secret", F.col("probability") >= threshold
+    )
 
 
 def redact(
