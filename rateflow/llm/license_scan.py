@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateflow.llm.license_texts import short_spellings, whole_texts
+
 # Public licence texts and notices, by SPDX identifier.
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
@@ -47,7 +49,19 @@ _BSD_CONDITIONS = (
     " conditions and the following disclaimer in the documentation and/or other materials"
     " provided with the distribution."
 )
-KNOWN_TEXTS = (
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with"
+    " or without fee is hereby granted"
+)
+_ISC_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR"
+    " DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF"
+    " MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,"
+    " DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF"
+    " USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS"
+    " ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_NOTICES = (
     ("MIT", "MIT License\n" + _MIT_GRANT + ", subject to the following conditions: The above"
      " copyright notice and this permission notice shall be included in all copies or substantial"
      " portions of the Software. " + _MIT_WARRANTY),
@@ -55,14 +69,8 @@ KNOWN_TEXTS = (
      " this permission notice shall be included in all copies or substantial portions of the"
      " Software. " + _MIT_WARRANTY),
     ("MIT-0", "MIT No Attribution\n" + _MIT_GRANT + ". " + _MIT_WARRANTY),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with"
-     " or without fee is hereby granted, provided that the above copyright notice and this"
-     " permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR"
-     " DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF"
-     " MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,"
-     " DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF"
-     " USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS"
-     " ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("ISC", _ISC_GRANT + ", provided that the above copyright notice and this permission notice"
+     " appear in all copies. " + _ISC_WARRANTY),
     ("BSD-2-Clause", _BSD_CONDITIONS + " " + _BSD_WARRANTY),
     ("BSD-3-Clause", _BSD_CONDITIONS + " 3. Neither the name of the copyright holder nor the names"
      " of its contributors may be used to endorse or promote products derived from this software"
@@ -92,6 +100,35 @@ KNOWN_TEXTS = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
+_MIT_CONDITIONS = (
+    ", subject to the following conditions: The above copyright notice and this permission"
+    " notice shall be included in all copies or substantial portions of the Software. "
+)
+_NEITHER = (
+    " may be used to endorse or promote products derived from this software without specific"
+    " prior written permission. "
+)
+_SHORT = (
+    ("MIT", _MIT_GRANT + _MIT_CONDITIONS + _MIT_WARRANTY),
+    ("MIT-0", _MIT_GRANT + ". " + _MIT_WARRANTY),
+    ("ISC", _ISC_GRANT + ", provided that the above copyright notice and this permission notice"
+     " appear in all copies. " + _ISC_WARRANTY),
+    ("ISC", _ISC_GRANT.replace("and/or", "and") + ", provided that the above copyright notice and"
+     " this permission notice appear in all copies. " + _ISC_WARRANTY),
+    ("0BSD", _ISC_GRANT + ". " + _ISC_WARRANTY),
+    ("BSD-2-Clause", _BSD_CONDITIONS + " " + _BSD_WARRANTY),
+    ("BSD-3-Clause", _BSD_CONDITIONS + " 3. Neither the name of the copyright holder nor the names"
+     " of its contributors" + _NEITHER + _BSD_WARRANTY),
+    ("BSD-3-Clause", _BSD_CONDITIONS + " 3. Neither the name of the University nor the names of its"
+     " contributors" + _NEITHER + _BSD_WARRANTY.replace("COPYRIGHT HOLDERS AND", "REGENTS AND")
+     .replace("COPYRIGHT HOLDER OR", "REGENTS OR")),
+)
+#: Notices, then whole texts in all their spellings.
+KNOWN_TEXTS = (
+    *_NOTICES,
+    *((name, spelled) for name, text in _SHORT for spelled in short_spellings(name, text)),
+    *whole_texts(),
+)
 
 # Lines left out, and spellings brought to one form in turn (on
 # lower-case text whose other signs are single spaces).

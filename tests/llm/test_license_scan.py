@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from rateflow.llm import license_scan
@@ -48,3 +50,42 @@ def test_empty_table(spark, documents):
 def test_runs_no_python_on_executors(spark, documents):
     plan = license_scan.scan(spark, documents([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+ISC_FILE = """ISC License
+
+Copyright (c) 2012, Somebody <me@here.com>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+MIT = next(text for name, text in license_scan.KNOWN_TEXTS[1:] if name == "MIT")
+
+
+def test_whole_licence_files(spark, documents):
+    rows = [
+        ("ISC", ISC_FILE),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Somebody\n\n" + BSD),
+        ("BSD-3-Clause", "BSD 3-Clause License\nCopyright 2020 X\nAll rights reserved.\n\n" + BSD),
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Somebody\n\n" + MIT),
+    ]
+    folder = Path(license_scan.__file__).parent / "licenses"
+    whole = {path.stem: path.read_text() for path in folder.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "CC0-1.0",
+            "Unlicense"} <= set(whole)
+    rows += whole.items()
+    rows.append(("Apache-2.0", whole["Apache-2.0"].split("   APPENDIX:")[0]))
+    rows.append((None, whole["GPL-3.0-only"] + "\nAnd more."))
+    found = license_scan.scan(spark, documents([(i, text) for i, (_, text) in enumerate(rows)]))
+    assert {r["doc_id"]: r["license"] for r in found.collect()} == {
+        i: name for i, (name, _) in enumerate(rows)
+    }
