@@ -143,8 +143,6 @@ EQUIVALENT = (
     (r"\bcreative commons attribution\b", "cc by"),
     (r"\bv(?:ersion)? ?([0-9])", "version $1"),
 )
-#: The most that the spellings shorten a text by: a longer one matches nothing.
-_SHRINKS = 6
 
 
 def _spelled(text: Column) -> Column:
@@ -159,17 +157,12 @@ def canonical_lines(text: Column) -> Column:
     return _spelled(F.regexp_replace(plain, SIGNS, " "))
 
 
-def canonical_text(lines: Column, longest: int | None = None) -> Column:
+def canonical_text(lines: Column) -> Column:
     """The canonical form of an entire text, from that of its lines.
 
-    Spellings that span lines are brought to one form too, unless the text is too
-    long for any known one of up to ``longest`` signs.
+    Spellings that span lines are brought to one form too.
     """
-    joined = F.regexp_replace(lines, r"[ \n]+", " ")
-    spelled = _spelled(joined)
-    if longest is not None:
-        spelled = F.when(F.length(joined) > _SHRINKS * longest, joined).otherwise(spelled)
-    return F.trim(spelled)
+    return F.trim(_spelled(F.regexp_replace(lines, r"[ \n]+", " ")))
 
 
 def known_licenses(spark: SparkSession, texts=KNOWN_TEXTS) -> DataFrame:
@@ -200,7 +193,7 @@ def scan(spark: SparkSession, docs: DataFrame, texts=KNOWN_TEXTS) -> DataFrame:
         "doc_id", canonical_lines(F.coalesce("text", F.lit(""))).alias("form")
     ).select(
         "doc_id",
-        F.sha2(canonical_text(F.col("form"), lengths[-1]), 256).alias("digest"),
+        F.sha2(canonical_text(F.col("form")), 256).alias("digest"),
         F.transform(
             F.filter(lines, lambda x: F.length(x).isin(lengths)), lambda x: F.sha2(x, 256)
         ).alias("lines"),

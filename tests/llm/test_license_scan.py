@@ -89,3 +89,10 @@ def test_whole_licence_files(spark, documents):
     assert {r["doc_id"]: r["license"] for r in found.collect()} == {
         i: name for i, (name, _) in enumerate(rows)
     }
+
+
+@pytest.mark.parametrize("parts", [("copyright", "owner"), ("non-", "commercial"), ("sub", "license"), ("v", "3")])
+def test_long_texts_have_one_digest_however_they_are_wrapped(spark, documents, parts):
+    rows = [(1, "many words " * 30_000 + " ".join(parts)), (2, "many words " * 30_000 + "\n".join(parts))]
+    found = license_scan.scan(spark, documents(rows)).collect()
+    assert len(found) == 2 and len({r["digest"] for r in found}) == 1
