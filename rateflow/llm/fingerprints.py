@@ -7,8 +7,9 @@ vectors, lane by lane modulo powers of two. So it does not depend on the order o
 units, and adding or removing units is adding or subtracting their fingerprint.
 
 The vector has two parts. Wide lanes (modulo 2^64) decide equality. Narrow lanes
-(modulo 2^16) hold +1 or -1; sums of these keep the inner product of two
-multisets on average, which estimates how alike two texts are.
+(modulo 2^32) hold +1 or -1; sums of these keep the inner product of two
+multisets on average, which estimates how alike two texts are; no text has so many
+units that they wrap.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ class Fingerprint:
         rows = np.frombuffer(digests, np.uint8).reshape(-1, 8 * WIDE + NARROW // 8)
         wide = np.ascontiguousarray(rows[:, : 8 * WIDE]).view("<u8").sum(axis=0, dtype=np.uint64)
         ones = np.unpackbits(rows[:, 8 * WIDE :], axis=1).sum(axis=0, dtype=np.int64)
-        return cls(wide, (2 * ones - len(rows)).astype(np.uint64).astype("<u2"))
+        return cls(wide, (2 * ones - len(rows)).astype(np.uint64).astype("<u4"))
 
     @classmethod
     def of_text(cls, text: str) -> Fingerprint:
@@ -61,11 +62,11 @@ class Fingerprint:
         data = bytes.fromhex(written)
         return cls(
             np.frombuffer(data[: 8 * WIDE], "<u8").copy(),
-            np.frombuffer(data[8 * WIDE :], "<u2").copy(),
+            np.frombuffer(data[8 * WIDE :], "<u4").copy(),
         )
 
     def hex(self) -> str:
-        return (self.wide.astype("<u8").tobytes() + self.narrow.astype("<u2").tobytes()).hex()
+        return (self.wide.astype("<u8").tobytes() + self.narrow.astype("<u4").tobytes()).hex()
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.wide + other.wide, self.narrow + other.narrow)
@@ -89,8 +90,8 @@ class Fingerprint:
         """
         if self == other:
             return 1.0
-        a = self.narrow.view(np.int16).astype(np.float64)
-        b = other.narrow.view(np.int16).astype(np.float64)
+        a = self.narrow.view(np.int32).astype(np.float64)
+        b = other.narrow.view(np.int32).astype(np.float64)
         norm = math.sqrt(float(a @ a) * float(b @ b))
         return min(max(float(a @ b) / norm, 0.0), 1.0 - 1e-6) if norm else 0.0
 

@@ -83,3 +83,13 @@ def test_fingerprint_documents(spark, documents):
     made = fingerprint_documents(documents([(1, "a. b\nc"), (2, None)])).collect()
     assert [(r["doc_id"], r["n_units"]) for r in made] == [(1, 3), (2, 0)]
     assert units("a. b\n\n c ") == ["a.", "b", " c "]
+
+
+def test_likeness_of_a_line_repeated_often(spark, documents):
+    line = "The same line again.\n"
+    long, kept = Fingerprint.of_text(line * 40_000), Fingerprint.of_text(line * 20_000)
+    assert long.likeness(kept) > 0.99 and kept.likeness(long) > 0.99
+    assert long - kept == kept and Fingerprint.from_hex(long.hex()) == long
+    rows = [(1, line * 40_000 + "x"), (2, "Another text.\n" * 40_000)]
+    near = {r["doc_id"]: r["near_edited"] for r in edited_neighbours(spark, documents(rows)).collect()}
+    assert min(near.values()) > 0.5
