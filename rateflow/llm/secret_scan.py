@@ -91,7 +91,7 @@ DICTIONARY = (
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, nth, candidate, before, after)`` of every candidate in a text.
+    """``(doc_id, text_md5, nth, candidate, before, after)`` of every candidate in a text.
 
     Texts are marked where candidates are and cut there, so that all of a text's
     candidates come with their surroundings in one pass: at most 64 code points
@@ -100,7 +100,9 @@ def candidates(docs: DataFrame) -> DataFrame:
     """
     plain = F.translate(F.coalesce("text", F.lit("")), _OPEN + _CLOSE, "  ")
     marked = F.regexp_replace(plain, CANDIDATE, f"{_OPEN}$1{_CLOSE}")
-    cut = docs.select("doc_id", F.split(marked, _OPEN).alias("cuts")).where(F.size("cuts") > 1)
+    cut = docs.select(
+        "doc_id", F.md5("text").alias("text_md5"), F.split(marked, _OPEN).alias("cuts")
+    ).where(F.size("cuts") > 1)
 
     def one(at: Column) -> Column:
         left, own = F.element_at("cuts", at), F.element_at("cuts", at + 1)
@@ -114,9 +116,9 @@ def candidates(docs: DataFrame) -> DataFrame:
         )
 
     places = F.sequence(F.lit(1), F.size("cuts") - 1)
-    return cut.select("doc_id", F.explode(F.transform(places, one)).alias("found")).select(
-        "doc_id", "found.*"
-    )
+    return cut.select(
+        "doc_id", "text_md5", F.explode(F.transform(places, one)).alias("found")
+    ).select("doc_id", "text_md5", "found.*")
 
 
 def _features() -> dict[str, Column]:
@@ -303,15 +305,18 @@ def redact(
 ) -> DataFrame:
     """The documents with each secret replaced by ``mask``, ``n_chars`` adjusted.
 
-    All columns stay. Rows that share a doc_id (null is one too) are freed of the
-    secrets of all of them.
+    All columns stay. Each text is freed of its own secrets, by ``text_md5``; findings
+    without that column go by doc_id (null is one too), and rows that share one are
+    freed of the secrets of all of them.
     """
+    by_text = "text_md5" in findings.columns
+    key = "text_md5" if by_text else "doc_id"
     secrets = saved(
         spark,
         findings.where("is_secret")
-        .groupBy("doc_id")
+        .groupBy(F.col(key).alias("of"))
         .agg(F.collect_set("candidate").alias("found"))
-        .select(F.struct("doc_id", "found").alias("secrets")),
+        .select(F.struct("of", "found").alias("secrets")),
         "secrets",
     )
     size = secrets.agg(
@@ -320,9 +325,11 @@ def redact(
     if (size or 0) <= 8 * BROADCAST_IDS:
         secrets = F.broadcast(secrets)
     left, right = docs.alias("left"), secrets.alias("right")
-    joined = left.join(
-        right, F.col("left.doc_id").eqNullSafe(F.col("right.secrets.doc_id")), "left"
-    )
+    if by_text:
+        same = F.md5("left.text") == F.col("right.secrets.of")
+    else:
+        same = F.col("left.doc_id").eqNullSafe(F.col("right.secrets.of"))
+    joined = left.join(right, same, "left")
     longest_first = F.array_sort(
         F.col("right.secrets.found"),
         lambda a, b: F.length(b) - F.length(a),

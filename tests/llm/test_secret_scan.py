@@ -135,3 +135,13 @@ def test_one_class_alone_still_masks_what_is_a_secret(spark, documents):
     assert {r["label"] for r in labels} == {0}
     found = {r["doc_id"]: r["is_secret"] for r in secret_scan.find_secrets(spark, docs).collect()}
     assert found == {1: False, 2: False, 3: True}
+
+
+def test_a_text_is_freed_of_its_own_secrets_only(spark, documents):
+    docs = documents([(None, 'password = "hunter2hunter2"'), (None, "on hunter2hunter2 street"),
+                      (7, 'token = "abcd1234abcd"'), (7, "an abcd1234abcd thing"), (None, None)])
+    masked = secret_scan.redact(spark, docs, secret_scan.find_secrets(spark, docs), "#")
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in masked.collect()) == [
+        ("7", "an abcd1234abcd thing"), ("7", 'token = "#"'),
+        ("None", "None"), ("None", "on hunter2hunter2 street"), ("None", 'password = "#"'),
+    ]
