@@ -54,9 +54,9 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 
 #: Bound of the labelled rows which the weights and the sigmoid are fitted on.
 TRAINING_ROWS = 10000
-#: A word or stem that is no seed enters the lexicon if this share of the toxic
-#: training texts, and at least this many, have it, and if it weighs so much.
-LEARNED_SHARE, LEARNED_TEXTS, LEARNED_WEIGHT = 0.02, 5, 1.5
+#: A word or stem that is no seed enters the lexicon if at least this many toxic
+#: training texts have it, and if it weighs so much.
+LEARNED_TEXTS, LEARNED_WEIGHT = 5, 1.5
 STEM_LENGTHS = range(3, 11)
 SEED_WEIGHT = 3.0
 #: Words which the matched mass is related to: so many that one match in a long text shows.
@@ -201,7 +201,6 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     max_rows: int = TRAINING_ROWS,
-    learned_share: float = LEARNED_SHARE,
     seeds: Iterable[str] = SEED_WORDS,
     exceptions: Iterable[str] = EXCEPTION_PHRASES,
 ) -> Lexicon:
@@ -211,9 +210,9 @@ def train(
     another text; texts that repeat count once. Seeds always enter (with
     ``SEED_WEIGHT`` where no training row has them, and never below a tenth of
     it); other words and stems enter under ``LEARNED_*``, so their number is
-    bounded by the entries of a text over ``learned_share``. An entry is left out
-    where a shorter stem of it weighs as much, and a stem where one longer entry
-    has nearly all of its texts. Without toxic training rows the
+    bounded by the entries of the sample's toxic texts over ``LEARNED_TEXTS``. An
+    entry is left out where a shorter stem of it weighs as much, and a stem where
+    one longer entry has nearly all of its texts. Without toxic training rows the
     lexicon is the seeds.
     """
     seeds = sorted({fold(word)[1] for word in seeds})
@@ -244,11 +243,10 @@ def train(
         .groupBy("word")
         .agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
     )
-    # What passes is bounded: seeds, and words of a fixed share of the toxic texts.
+    # What passes is bounded by the sample: seeds, and words that may be learned.
     total = counted.where(F.col("word") == "").first()
     toxic, clean = (total["toxic"], total["n"] - total["toxic"]) if total else (0, 0)
-    needed = max(LEARNED_TEXTS, math.ceil(learned_share * toxic))
-    often = (F.col("toxic") >= needed) & (F.col("toxic") * clean > (F.col("n") - F.col("toxic")) * toxic)
+    often = (F.col("toxic") >= LEARNED_TEXTS) & (F.col("toxic") * clean > (F.col("n") - F.col("toxic")) * toxic)
     kept = counted.where((F.col("word") != "") & (often | F.col("word").isin(seeds))).collect()
     learned = {}
     for row in kept:

@@ -151,3 +151,14 @@ def test_stems_are_learned(spark, documents):
     )
     assert "blargh-" in lexicon.weights
     assert lexicon.score("a blarghzzz") > 0.7 > lexicon.score("text that is good")
+
+
+def test_toxic_words_of_a_small_group_are_learned(spark, documents):
+    common = [(i, f"gribble says number {i}") for i in range(1000)]
+    rare = [(10_000 + i, f"zworp sagt nummer {i}") for i in range(16)]
+    clean = [(20_000 + i, f"somebody says sagt number nummer {i}") for i in range(6000)]
+    labels = spark.createDataFrame(
+        [(i, int(i < 20_000)) for i, _ in common + rare + clean], "doc_id LONG, toxic INT"
+    )
+    lexicon = toxicity.train(documents(common + rare + clean), labels)
+    assert lexicon.score("zworp sagt nummer 7") > lexicon.score("somebody sagt nummer 7")
