@@ -99,8 +99,26 @@ FROM sized GROUP BY conv_id
 """
 
 
+_WARC_BUNDLES = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id
+    FROM payloads WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL
+        THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": _EMBEDDING_DEDUP,
     "op8_chat_formatting": _CHAT_FORMAT,
     "op10_license_scans": _license_scan(),
+    "op12_warc_bundles": _WARC_BUNDLES,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,13 @@ from rateflow.llm import (
     license_scan,
     minhash,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     sentencepiece_codec,
     toxicity,
+    warc_bundles,
+    whitening,
 )
 from rateflow.llm.common import crc_remainder
 
@@ -139,3 +143,68 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, table(spark, sf_dir, "documents"))
+
+
+def looped_tail(doc_id: int | None, text: bytes) -> bytes:
+    """The text with its words from a place on repeated, if its id says so."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    words = text.split() if h % 10 == 0 else []
+    if not words:
+        return text
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return b" ".join(words[:a] + [words[a + (i - a) % p] for i in range(a, n)])
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(
+        table(spark, sf_dir, "documents"), min_length=24, min_exponent=3, prepare=looped_tail
+    )
+    # Of equal exponents the first stays: runs are in order of start and period.
+    top = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"),
+        lambda best, run: F.when(
+            best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run
+        ).otherwise(best),
+    )
+    lines = F.transform(
+        "runs",
+        lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")),
+    )
+    return found.select("*", top.alias("top")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_bundles.capture_records(spark, table(spark, sf_dir, "pages"))
+    read = warc_bundles.read_bundles(spark, warc_bundles.write_bundles(spark, records))
+    # A response's digest and size are those of the payload that came back.
+    whole = F.col("record_type") == "response"
+    return read.select(
+        warc_bundles.page_of(F.col("record_id")).alias("page_id"),
+        F.when(whole, F.octet_length("payload").cast("long"))
+        .otherwise(F.col("payload_bytes"))
+        .alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256))
+        .otherwise(F.col("payload_digest"))
+        .alias("payload_digest"),
+        "record_type",
+        warc_bundles.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"), components=4)
