@@ -7,23 +7,16 @@ executor.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.plans.clean import clean_observations, deduplicated, parse_observations, rejected_files
 from rateflow.plans.pipeline import build_all
-from rateflow.schemas import REJECTED_FILES
-from rateflow.session import scratch_path
+from rateflow.schemas import PARSED_OBSERVATIONS, REJECTED_FILES
 from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
 
-logger = logging.getLogger(__name__)
-
-_PARSED = ["series_file", "series_id", "date", "value", "position"]
-
 
 def landed_observations(
     spark: SparkSession,
@@ -33,42 +26,38 @@ def landed_observations(
 ) -> tuple[DataFrame, DataFrame]:
     """``(observations, rejected files)`` of all landed payloads.
 
-    A payload which cannot be parsed is left out and listed; the rest go on.
-    ``sdmx_paths`` are directories of statistics CSVs, one per header.
+    A payload which cannot be parsed is left out and listed, with the reason; so
+    is a path that does not exist. The rest go on. ``sdmx_paths`` are directories
+    of statistics CSVs, whatever their headings.
     """
     parsed: list[DataFrame] = []
     rejected: list[DataFrame] = [spark.createDataFrame([], REJECTED_FILES)]
     if json_path is not None:
         payloads = json_payloads.read_json_payloads(spark, json_path)
-        parsed.append(json_payloads.json_observations(payloads))
-        rejected.append(json_payloads.rejected_payloads(payloads))
+        if payloads is None:
+            rejected.append(_missing(spark, json_path))
+        else:
+            parsed.append(json_payloads.json_observations(payloads))
+            rejected.append(json_payloads.rejected_payloads(payloads))
     for path in sdmx_paths:
-        try:
-            raw = raw_csv.read_sdmx_csv(spark, path)
-        except (ValueError, AnalysisException) as error:
-            missing = isinstance(error, AnalysisException)
-            if missing and error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            logger.warning("skipped %s: %s", path, error)
-            reason = "missing" if missing else "no_observations"
-            rejected.append(spark.createDataFrame([(path, reason)], REJECTED_FILES))
-            continue
-        parsed.append(parse_observations(raw))
-        rejected.append(rejected_files(raw))
+        landed = raw_csv.land_sdmx_csv(spark, path)
+        parsed.append(parse_observations(landed.rows))
+        rejected += [landed.rejected, rejected_files(landed.rows)]
     if archive_path is not None:
-        # Written, so that an archive is unpacked once for its rows and its reject.
-        unpacked = wide_tables.expand_archives(wide_tables.read_archives(spark, archive_path))
-        path = scratch_path(spark, "unpacked")
-        unpacked.write.parquet(path)
-        expanded = spark.read.schema(unpacked.schema).parquet(path)
-        parsed.append(wide_tables.archive_observations(expanded))
-        rejected.append(wide_tables.rejected_archives(expanded))
-    if not parsed:
+        unpacked = wide_tables.land_archives(spark, archive_path)
+        parsed.append(unpacked.observations)
+        rejected.append(unpacked.rejected)
+    if not parsed and len(rejected) == 1:
         raise ValueError("no source given")
-    observations = reduce(DataFrame.unionByName, [p.select(_PARSED) for p in parsed])
+    empty = spark.createDataFrame([], PARSED_OBSERVATIONS)
+    observations = reduce(DataFrame.unionByName, [p.select(PARSED_OBSERVATIONS.names) for p in parsed], empty)
     return observations, reduce(DataFrame.unionByName, rejected)
 
 
+def _missing(spark: SparkSession, path: str) -> DataFrame:
+    return spark.createDataFrame([(path, "missing")], REJECTED_FILES)
+
+
 def run_from_payloads(
     spark: SparkSession,
     work_path: str,
@@ -92,8 +81,9 @@ def run_from_raw_csv(
     spark: SparkSession, raw_path: str, work_path: str, database: str, buckets: int = 8
 ) -> None:
     """Raw CSVs to tables. A file left without rows keeps its dimension row."""
-    raw = raw_csv.read_raw_csv(spark, raw_path)
-    rejected_files(raw).write.mode("overwrite").parquet(f"{work_path}/rejected")
+    landed = raw_csv.land_raw_csv(spark, raw_path)
+    raw = landed.rows
+    landed.rejected.unionByName(rejected_files(raw)).write.mode("overwrite").parquet(f"{work_path}/rejected")
     rejected = spark.read.schema(REJECTED_FILES).parquet(f"{work_path}/rejected")
     tables.write_observations(clean_observations(raw, rejected), f"{work_path}/processed")
     files = raw_csv.list_raw_csv(spark, raw_path).join(rejected, "series_file", "left_anti")

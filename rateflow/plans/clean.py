@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.coercion import calendar_day, date_parts, missing_to_null, to_day, to_number
 from rateflow.operators.dedupe import keep_last
 
 OBSERVATION_KEY = ["series_file", "series_id", "date"]
-_BAD, _OUTSIDE = 1, 32  # the other bits, 2 to 16, stand for one to four date parts
+_BAD, _OUTSIDE, _MALFORMED = 1, 32, 64  # bits 2 to 16 stand for one to four date parts
 
 
 def typed_observations(raw: DataFrame) -> DataFrame:
@@ -27,28 +27,38 @@ def rejected_files(raw: DataFrame) -> DataFrame:
     """``(series_file, reason)``: one unparseable date rejects its whole file.
 
     A missing date does not, but mixing days, months or years does: the first
-    date of a file sets the layout of the rest. What a file contains is or-ed
-    into one integer, so the aggregate hashes and combines on the map side, and
-    a row per file and task is all that is shuffled.
+    date of a file sets the layout of the rest. A line that its reader marked
+    ``malformed`` rejects its file too. What a file contains is or-ed into one
+    integer, so the aggregate hashes and combines on the map side, and a row per
+    file and task is all that is shuffled.
     """
+    seen = raw.groupBy("series_file").agg(F.bit_or(flaws(raw)).alias("seen"))
+    return with_reason(seen).where(F.col("reason").isNotNull())
+
+
+def flaws(raw: DataFrame) -> Column:
+    """What a row's date and its reader say of its file, as bits."""
     text = missing_to_null(F.col("date"))
     layout = F.call_function("shiftleft", F.lit(1), date_parts(text))
-    seen = F.when(
+    bits = F.when(
         text.isNotNull(),
         F.when(calendar_day(text).isNull(), _BAD).when(to_day(text).isNull(), _OUTSIDE).otherwise(layout),
-    )
-    layouts = F.col("seen").bitwiseAND(~(_BAD | _OUTSIDE))
-    return (
-        raw.groupBy("series_file")
-        .agg(F.bit_or(seen).alias("seen"))
-        .select(
-            "series_file",
-            F.when(F.col("seen").bitwiseAND(_BAD) != 0, "bad_date")
-            .when(F.col("seen").bitwiseAND(_OUTSIDE) != 0, "date_out_of_range")
-            .when(F.bit_count(layouts) > 1, "mixed_date_layouts")
-            .alias("reason"),
-        )
-        .where(F.col("reason").isNotNull())
+    ).otherwise(0)
+    if "malformed" in raw.columns:
+        bits = bits.bitwiseOR(F.when(F.col("malformed"), _MALFORMED).otherwise(0))
+    return bits
+
+
+def with_reason(seen: DataFrame) -> DataFrame:
+    """``(series_file, reason)`` by the bits ``seen`` in each file; NULL if sound."""
+    layouts = F.col("seen").bitwiseAND(~(_BAD | _OUTSIDE | _MALFORMED))
+    return seen.select(
+        "series_file",
+        F.when(F.col("seen").bitwiseAND(_MALFORMED) != 0, "malformed_line")
+        .when(F.col("seen").bitwiseAND(_BAD) != 0, "bad_date")
+        .when(F.col("seen").bitwiseAND(_OUTSIDE) != 0, "date_out_of_range")
+        .when(F.bit_count(layouts) > 1, "mixed_date_layouts")
+        .alias("reason"),
     )
 
 

@@ -38,6 +38,9 @@ def _table(columns: str) -> StructType:
 RAW_OBSERVATIONS = _table(
     "series_file STRING, date STRING, value STRING, series_id STRING, position POSITION"
 )
+PARSED_OBSERVATIONS = _table(
+    "series_file STRING, series_id STRING, date DATE, value DOUBLE, position POSITION"
+)
 OBSERVATIONS = _table(
     "series_file STRING, series_id STRING, date DATE, value DOUBLE"
 )

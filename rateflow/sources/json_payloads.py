@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
-from rateflow.sources.raw_csv import file_stem
+from rateflow.sources.headed_csv import file_stem
 
 PAYLOAD_SCHEMA = "observations ARRAY<STRUCT<date: STRING, value: STRING>>"
 
 
-def read_json_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """``(series_file, payload)``, one row per file; the stem names the series."""
-    return spark.read.text(path, wholetext=True).select(
-        file_stem().alias("series_file"), F.col("value").alias("payload")
-    )
+def read_json_payloads(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(series_file, payload)``, one row per file; the stem names the series, or
+    the ``series_file=`` directory. None where there is no such path."""
+    try:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    partitioned = "series_file" in files.columns
+    series = F.col("series_file").cast("string") if partitioned else file_stem()
+    return files.select(series.alias("series_file"), F.col("value").alias("payload"))
 
 
 def json_observations(payloads: DataFrame) -> DataFrame:

@@ -1,52 +1,47 @@
-"""Raw observation CSVs: ``date,value,series_id`` with a header line."""
+"""Raw observation CSVs: columns ``date``, ``value`` and ``series_id``, by name."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.schemas import RAW_OBSERVATIONS
+from rateflow.schemas import RAW_OBSERVATIONS, REJECTED_FILES
+from rateflow.sources.headed_csv import file_stem, read_headed_csv
 
-_CSV_SCHEMA = "date STRING, value STRING, series_id STRING"
-_ROW_BITS = 33  # those of monotonically_increasing_id that count rows
+_RAW_COLUMNS = ["date", "value", "series_id"]
+_SDMX_COLUMNS = ["TIME_PERIOD", "OBS_VALUE"]
 
 
-def file_stem() -> Column:
-    return F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+@dataclass(frozen=True)
+class Landed:
+    """``rows`` of texts, and the files left out before any cell was parsed:
+    ``(series_file, reason)``. Rows may have a column ``malformed``."""
 
+    rows: DataFrame
+    rejected: DataFrame
 
-def file_position(part: Column | None = None) -> Column:
-    """DECIMAL which grows with a row's place: ``part``, byte offset, row.
 
-    A scan cuts a file into blocks; the offset of a block orders rows across
-    blocks, however large they are, and the row counter inside one. A fixed-width
-    number, so that keep-last can hash.
-    """
-    offset = F.col("_metadata.file_block_start").cast("decimal(19,0)")
-    row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1).cast("decimal(10,0)")
-    place = offset * F.lit("1" + "0" * 10).cast("decimal(11,0)") + row
-    if part is not None:
-        place = place + part.cast("decimal(8,0)") * F.lit("1" + "0" * 29).cast("decimal(30,0)")
-    return place.cast("decimal(38,0)")
+def land_raw_csv(spark: SparkSession, path: str) -> Landed:
+    """All ``<stem>.csv`` files of a directory, whatever else their headings hold
+    and in whatever order. A missing directory is an empty frame and listed."""
+    return _land(spark, path, pathGlobFilter="*.csv")
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All ``<stem>.csv`` files of a directory as one frame of texts.
+    """The rows of ``land_raw_csv``."""
+    return land_raw_csv(spark, path).rows
 
-    A missing directory is an empty frame. A header which differs from the
-    contract raises, rather than filling columns by position.
-    """
-    scan = _scan(spark, path, _CSV_SCHEMA, pathGlobFilter="*.csv")
-    if scan is None:
-        return spark.createDataFrame([], RAW_OBSERVATIONS)
-    return scan.select(
-        file_stem().alias("series_file"),
-        "date",
-        "value",
-        "series_id",
-        file_position().alias("position"),
-    )
+
+def _land(spark: SparkSession, path: str, **options: str) -> Landed:
+    found = read_headed_csv(spark, path, **options)
+    if found is None:
+        missing = spark.createDataFrame([(path, "missing")], REJECTED_FILES)
+        return Landed(spark.createDataFrame([], RAW_OBSERVATIONS), missing)
+    rows = found.pick(_RAW_COLUMNS).select(*RAW_OBSERVATIONS.names, "malformed")
+    return Landed(rows, found.rejected(_RAW_COLUMNS))
 
 
 def list_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -82,59 +77,43 @@ def write_raw_csv(raw: DataFrame, path: str) -> None:
     )
 
 
+def land_partitioned_raw_csv(spark: SparkSession, path: str) -> Landed:
+    """CSVs in ``series_file=`` directories; part files count as consecutive."""
+    return _land(spark, path)
+
+
 def read_partitioned_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """What ``write_raw_csv`` wrote; part files count as consecutive."""
-    scan = _scan(spark, path, _CSV_SCHEMA + ", series_file STRING")
-    if scan is None:
-        return spark.createDataFrame([], RAW_OBSERVATIONS)
-    return scan.select(
-        "series_file", "date", "value", "series_id", file_position(_part_number()).alias("position")
-    )
+    """The rows of ``land_partitioned_raw_csv``: what ``write_raw_csv`` wrote."""
+    return _land(spark, path).rows
 
 
-def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
+def land_sdmx_csv(spark: SparkSession, path: str) -> Landed:
     """Statistics CSVs (``TIME_PERIOD``, ``OBS_VALUE`` and others) as raw texts.
 
     The series is the file stem, or the ``series_file=`` directory where there
-    is one. Files of one call share a header; read each flow on its own.
+    is one.
     """
-    scan = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    missing = sorted({"TIME_PERIOD", "OBS_VALUE"} - set(scan.columns))
-    if missing:
-        raise ValueError(f"{path}: not an observation CSV, no {missing}")
-    partitioned = "series_file" in scan.columns
-    series = F.col("series_file").cast("string") if partitioned else file_stem()
-    position = file_position(_part_number() if partitioned else None)
-    return scan.select(
-        series.alias("series_file"),
+    found = read_headed_csv(spark, path)
+    if found is None:
+        missing = spark.createDataFrame([(path, "missing")], REJECTED_FILES)
+        return Landed(spark.createDataFrame([], RAW_OBSERVATIONS), missing)
+    rows = found.pick(_SDMX_COLUMNS).select(
+        "series_file",
         F.col("TIME_PERIOD").alias("date"),
         F.col("OBS_VALUE").alias("value"),
-        series.alias("series_id"),
-        position.alias("position"),
+        F.col("series_file").alias("series_id"),
+        "position",
+        "malformed",
     )
+    return Landed(rows, found.rejected(_SDMX_COLUMNS))
 
 
-def _part_number() -> Column:
-    """Number of a written part and of its piece, where the writer made several."""
-    name = F.col("_metadata.file_name")
-    part = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")
-    piece = F.regexp_extract(name, r"[-.]c(\d+)\.", 1).try_cast("bigint")
-    return F.coalesce(part, F.lit(0)) * 1000 + F.coalesce(piece, F.lit(0))
-
-
-def _scan(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame | None:
-    try:
-        return (
-            spark.read.schema(schema)
-            .options(header=True, escape='"', enforceSchema=False, **options)
-            .csv(path)
-        )
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``land_sdmx_csv``; an error where no file has observations."""
+    found = read_headed_csv(spark, path)
+    if found is None:
+        raise FileNotFoundError(path)
+    complete = F.array_contains("heading", _SDMX_COLUMNS[0]) & F.array_contains("heading", _SDMX_COLUMNS[1])
+    if found.headings.where(complete).isEmpty():
+        raise ValueError(f"{path}: not an observation CSV, no {_SDMX_COLUMNS}")
+    return land_sdmx_csv(spark, path).rows

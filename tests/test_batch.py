@@ -36,12 +36,23 @@ def test_unsound_payloads_do_not_stop_the_rest(spark, landing, rows):
     observations, rejected = landed_observations(spark, **_sources(landing))
     assert sorted({r.series_id for r in observations.collect()}) == ["DEXBZUS", "ECB_DEPOSIT_RATE", "FEDFUNDS", "X:1"]
     assert rows(rejected) == [
-        (str(landing / "other"), "no_observations"), ("DGS10", "no_observations"), ("EURIBOR_3M", "bad_date"),
+        ("DGS10", "no_observations"), ("EURIBOR_3M", "bad_date"), ("x", "missing_column:TIME_PERIOD"),
     ]
     with pytest.raises(ValueError, match="no source"):
         landed_observations(spark)
 
 
+def test_missing_paths_are_listed_and_the_rest_goes_on(spark, landing, rows):
+    sources = _sources(landing)
+    sources["sdmx_paths"].append(str(landing / "gone"))
+    for name in ("json_path", "archive_path"):
+        observations, rejected = landed_observations(spark, **{**sources, name: str(landing / name)})
+        assert {(str(landing / name), "missing"), (str(landing / "gone"), "missing")} <= set(rows(rejected))
+        assert observations.count() == (2 + 1 * 2 if name == "json_path" else 2 + 6)
+    observations, rejected = landed_observations(spark, json_path=str(landing / "gone"))
+    assert observations.count() == 0 and rows(rejected) == [(str(landing / "gone"), "missing")]
+
+
 def test_payloads_to_marts(spark, landing, rows, day):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS payloads LOCATION '{landing}/db'")
     run_from_payloads(spark, str(landing / "work"), "payloads", buckets=2, **_sources(landing))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rateflow.plans.clean import clean_observations, parse_observations, rejected_files
-from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
+from rateflow.sources import archives, headed_csv, json_payloads, raw_csv, tables, wide_tables
 
 WIDE = "FREQ,Series,2023,2023-Q2,2023-S1\nA,X:1,1.0,2.0,3.0\nA,Y:2,4.0,5.0,6.0\n"
 
@@ -82,10 +82,46 @@ def test_missing_directories_are_empty(spark, tmp_path):
         assert "series_id" in frame.columns and frame.count() == 0
 
 
-def test_unexpected_header_raises(spark, tmp_path):
-    (tmp_path / "X.csv").write_text("date,series_id,value\n2024-01-01,X,1.0\n")
-    with pytest.raises(Exception, match="header"):
-        raw_csv.read_raw_csv(spark, str(tmp_path)).collect()
+def test_headings_of_every_layout_in_one_directory(spark, rows, day, tmp_path):
+    for name, text in {
+        "PLAIN": "date,value,series_id\n2024-01-01,1.0,PLAIN\n",
+        "TURNED": "series_id,date,value\nTURNED,2024-01-01,2.0\nTURNED,2024-01-01,2.5\n",
+        "MORE": '\ufeffnote,"value",status,date,series_id,\n"a, ""b""",3.0,x,2024-01-01,MORE,\nc,4.0,x,2024-01-02,MORE\n',
+        "BLANK_FIRST": "\n\nvalue,date,series_id\n5.0,2024-01-01,BLANK_FIRST\n",
+        "TWICE": "value,date,series_id,value\n6.0,2024-01-01,TWICE,7.0\n",
+        "SHORT": "date,value,series_id\n2024-01-01,8.0\n",
+        "NO_ID": "date,value\n2024-01-01,9.0\n",
+        "NO_ROWS": "series_id,value,date\n",
+        "EMPTY": "",
+        "RAGGED": "date,value,series_id\n2024-01-01,1.0,RAGGED\n2024-01-02,1.0,RAGGED,9\n",
+    }.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    (tmp_path / "LATIN.csv").write_bytes("date,value,series_id\n2024-01-01,1.0,é\n".encode("latin-1"))
+    landed = raw_csv.land_raw_csv(spark, str(tmp_path))
+    assert rows(clean_observations(landed.rows).select("series_id", "date", "value"), "value") == [
+        ("PLAIN", day("2024-01-01"), 1.0), ("TURNED", day("2024-01-01"), 2.5), ("MORE", day("2024-01-01"), 3.0),
+        ("MORE", day("2024-01-02"), 4.0), ("BLANK_FIRST", day("2024-01-01"), 5.0), ("TWICE", day("2024-01-01"), 6.0), (None, day("2024-01-01"), 8.0),
+    ]
+    assert rows(landed.rejected) == [("EMPTY", "empty_file"), ("NO_ID", "missing_column:series_id")]
+    assert rows(rejected_files(landed.rows)) == [("LATIN", "malformed_line"), ("RAGGED", "malformed_line")]
+
+
+def test_positions_of_late_parts_and_pieces(spark):
+    """A part's pieces stay before the next part, however many there are."""
+    places = [(0, 0, 0), (0, 999, 5), (0, 1_000, 5), (1, 0, 0), (250_000, 0, 0), (250_000, 999_999, 9), (2_147_483_647, 0, 0)]
+    frame = spark.createDataFrame([(*p, i) for i, p in enumerate(places)], "part LONG, piece LONG, row LONG, i INT")
+    part, piece = headed_csv._field(F.col("part"), 10, 28), headed_csv._field(F.col("piece"), 6, 22)
+    made = frame.select("i", (part + piece + F.col("row").cast("decimal(9,0)")).cast("decimal(38,0)").alias("position"))
+    assert [r["i"] for r in made.orderBy("position").collect()] == list(range(len(places)))
+
+
+def test_late_part_files_are_read_in_order(spark, rows, tmp_path):
+    folder = tmp_path / "series_file=S"
+    folder.mkdir()
+    for name, value in {"part-99999-a-c000": 1.0, "part-250000-a-c1001": 3.0, "part-250000-a-c000": 2.0}.items():
+        (folder / f"{name}.csv").write_text(f"date,value,series_id\n2024-01-01,{value},S\n")
+    cleaned = clean_observations(raw_csv.read_partitioned_raw_csv(spark, str(tmp_path)))
+    assert [value for *_, value in rows(cleaned)] == [3.0]
 
 
 def test_keep_last_holds_across_the_blocks_of_a_split_file(spark, tmp_path):
@@ -127,6 +163,27 @@ def test_wide_csv(spark, rows, day, tmp_path):
     ]
 
 
+def test_wide_csvs_with_other_periods_in_one_folder(spark, rows, day, tmp_path):
+    for name, text in {
+        "a": "Series,2023,2024\nX,1,2\n",
+        "b": "2021,FREQ,Series,2020\n21,A,X,20\n22,A,Y,\n",
+        "c": "Series,2019-Q4,note,202306\nX,5,6,7\n",
+        "long": "Series,2018\nX,1,2\n",
+        "none": "Series,note\nX,1\n",
+        "unnamed": "2017,note\n1,X\n",
+    }.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    landed = wide_tables.land_wide_csv(spark, str(tmp_path), "BIS_OTC_DERIV")
+    assert rows(landed.observations.select("date", "series_id", "value")) == [
+        (day("2019-10-01"), "X", 5.0), (day("2020-01-01"), "X", 20.0), (day("2021-01-01"), "X", 21.0),
+        (day("2021-01-01"), "Y", 22.0), (day("2023-01-01"), "X", 1.0), (day("2024-01-01"), "X", 2.0),
+    ]
+    assert rows(landed.rejected) == [("long", "malformed_line"), ("none", "no_period_column"), ("unnamed", "missing_column:Series")]
+    assert rows(landed.undated) == [("c", "202306")]
+    gone = wide_tables.land_wide_csv(spark, str(tmp_path / "gone"), "BIS_OTC_DERIV")
+    assert gone.observations.count() == 0 and rows(gone.rejected) == [(str(tmp_path / "gone"), "missing")]
+
+
 def test_wide_table_drops_bad_values_and_undated_columns(spark, rows, day):
     wide = spark.createDataFrame([("X", "1.0", "n/a", "7.0")], "Series STRING, `2023` STRING, `2024` STRING, `202306` STRING")
     assert rows(wide_tables.wide_to_long(wide, "D").select("date", "value")) == [(day("2023-01-01"), 1.0)]
@@ -174,6 +231,96 @@ def test_archives(spark, rows, tmp_path):
     assert rejected == {"NO_CSV", "DAMAGED", "NOISE", "RAGGED", "NO_ID", "NO_PERIOD"}
 
 
+def test_archives_by_their_directories(spark, rows, day, tmp_path):
+    damaged = bytearray(_zip({"data.csv": WIDE * 50}))
+    damaged[60] ^= 0xFF
+    files = {
+        "ZIPPED.zip": _zip({"readme.txt": "x", "DATA.CSV": "\ufeff" + WIDE, "more.csv": "Series,2020\nZ,9\n"}),
+        "PLAIN.csv": ("\ufeff" + WIDE).encode(),
+        "NO_CSV.zip": _zip({"readme.txt": "x"}),
+        "DAMAGED.zip": bytes(damaged),
+        "CUT.zip": _zip({"data.csv": WIDE})[:-30],
+        "NOISE.zip": b"<html>",
+        "EMPTY.csv": b"",
+        "LATIN.csv": "Series,2023\né,1\n".encode("latin-1"),
+        "RAGGED.csv": b"Series,2023\nX,1,2\n",
+        "NO_ID.csv": b"Name,2023\nX,1\n",
+        "NO_PERIOD.csv": b"Series,FREQ\nX,1\n",
+        "SHORT.csv": b"Series,2023,202301\n\nX,1\n",
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    landed = wide_tables.land_archives(spark, str(tmp_path))
+    found = landed.observations.groupBy("series_file").agg(F.sum("value"))
+    assert rows(found) == [("PLAIN", 21.0), ("SHORT", 1.0), ("ZIPPED", 21.0)]
+    reasons = dict(rows(landed.rejected))
+    assert sorted(reasons) == sorted(set(n.split(".")[0] for n in files) - {"ZIPPED", "PLAIN", "SHORT"})
+    assert (reasons["RAGGED"], reasons["EMPTY"], reasons["NO_CSV"]) == ("malformed_line", "empty_file", "no CSV in the archive")
+    assert rows(landed.undated) == [("SHORT", "202301")]
+    every = wide_tables.land_archives(spark, str(tmp_path / "ZIPPED.zip"), members="all")
+    assert rows(every.observations.groupBy("series_file").agg(F.sum("value"))) == [("ZIPPED", 30.0)]
+    gone = wide_tables.land_archives(spark, str(tmp_path / "gone"))
+    assert gone.observations.count() == 0 and rows(gone.rejected) == [(str(tmp_path / "gone"), "missing")]
+
+
+class _Holes:
+    """A file that leaves holes where zeros are written."""
+
+    def __init__(self, file):
+        self._file = file
+
+    def write(self, data):
+        if bytes(data).strip(b"\0"):
+            return self._file.write(data)
+        self._file.seek(len(data), 1)
+        return len(data)
+
+    def __getattr__(self, name):
+        return getattr(self._file, name)
+
+
+def test_an_archive_beyond_two_gigabytes(spark, rows, day, tmp_path):
+    path = tmp_path / "BIG.zip"
+    zeros = bytes(16 << 20)
+    with open(path, "wb") as file, zipfile.ZipFile(_Holes(file), "w") as archive:
+        with archive.open("pad.bin", "w", force_zip64=True) as member:
+            for _ in range(136):
+                member.write(zeros)
+        for i in range(3):
+            archive.writestr(zipfile.ZipInfo(f"{i}.csv"), f"Series,202{i}\nX,{i}.5\n", zipfile.ZIP_DEFLATED)
+    assert path.stat().st_size > 2**31 > path.stat().st_blocks * 512
+    parts = archives.ArchiveReader(str(tmp_path), False, "all").partitions()
+    assert [p.member for p in parts] == ["0.csv", "1.csv", "2.csv"]
+    landed = wide_tables.land_archives(spark, str(tmp_path), members="all")
+    assert rows(landed.observations.select("date", "value")) == [
+        (day("2020-01-01"), 0.5), (day("2021-01-01"), 1.5), (day("2022-01-01"), 2.5),
+    ]
+
+
+def test_a_long_member_is_streamed(tmp_path):
+    import tracemalloc
+
+    path = tmp_path / "D.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("d.csv", "w") as member:
+        member.write(b"Series,2023\n")
+        for i in range(150):
+            member.write(b"X%d,%s\n" % (i, b"1.5" * 1000) * 100)
+    reader = archives.ArchiveReader(str(path), False, "first")
+    tracemalloc.start()
+    lines = sum(batch.num_rows for batch in reader.read(reader.partitions()[0]))
+    # 45 MB of cells pass through.
+    assert lines == 15_000 and tracemalloc.get_traced_memory()[1] < 25 << 20
+    tracemalloc.stop()
+
+
+def test_a_cell_beyond_the_limit_rejects_its_file(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "CELL_LIMIT", 1000)
+    (tmp_path / "A.csv").write_text("Series,2023\n" + "x" * 2000 + ",1\n")
+    reader = archives.ArchiveReader(str(tmp_path), False, "first")
+    found = [r for b in reader.read(reader.partitions()[0]) for r in b.to_pylist()]
+    assert len(found) == 1 and "field larger" in found[0]["reason"]
+
+
 def test_headings_without_a_day_are_listed(spark, rows):
     content = b"Series,2023,202306,2023-13,FREQ\nX,1,2,3,4\nY,1,2,3,4\n"
     archives = spark.createDataFrame([("D", bytearray(content))], "series_file STRING, content BINARY")

@@ -237,6 +237,18 @@ QUERIES: dict[str, str] = {
           AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""",
     "ingest_wide_unpivot": _DERIV.format("dataset"),
     "ingest_wide_csv": _DERIV.format("dataset"),
+    "ingest_mixed_headings": """
+        SELECT series_file, series_id, date, value, NULL AS reason FROM cleaned WHERE series_file <> 'FEDFUNDS'
+        UNION ALL SELECT series_file, NULL, NULL, NULL, reason FROM rejects
+        UNION ALL VALUES ('FEDFUNDS', NULL, NULL, NULL, 'missing_column:value')""",
+    "ingest_wide_mixed_headings": _DERIV.format("dataset"),
+    "quarantine_all_sources": """
+        SELECT series_id AS series_file, count(*) * CASE series_id WHEN 'DGS2' THEN 2 ELSE 1 END AS n,
+            'kept' AS state
+        FROM market_obs WHERE series_id <> 'DEXJPUS' GROUP BY series_id
+        UNION ALL SELECT nation, count(*), 'kept' FROM deriv_periods WHERE nation <> 'NATION_7' GROUP BY nation
+        UNION ALL VALUES ('DEXJPUS', 0, 'no_observations'), ('DGS10', 0, 'missing_column'),
+            ('gone', 0, 'missing'), ('NATION_7', 0, 'unreadable')""",
     "ingest_zip_archive": _DERIV.format("nation"),
     "period_labels": f"""
         SELECT o_orderkey, label, kind < 9 AS is_period, date FROM (

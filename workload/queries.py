@@ -15,6 +15,7 @@ from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_
 from rateflow.operators.quality import table_failures, validate_series
 from rateflow.operators.windows import add_changes, full_window, over_history, simple_return
 from rateflow.plans import clean, marts, pipeline, reports, star
+from rateflow.plans.batch import landed_observations
 from rateflow.plans.named_queries import run_named
 from rateflow.session import scratch_path
 from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
@@ -213,6 +214,77 @@ def ingest_wide_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, long)
 
 
+@query
+def ingest_mixed_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSVs of several layouts in one directory: what is kept, by name, and
+    the files set aside."""
+    path = scratch_path(spark, "layouts")
+    views.landed_layouts(spark, sf_dir, path)
+    landed = raw_csv.land_partitioned_raw_csv(spark, path)
+    rejected = written(
+        spark, landed.rejected.unionByName(clean.rejected_files(landed.rows)), "rejected"
+    )
+    kept = clean.clean_observations(landed.rows, rejected)
+    return kept.unionByName(rejected, allowMissingColumns=True)
+
+
+@query
+def ingest_wide_mixed_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide CSVs in one folder whose headings hold other periods in other orders."""
+    periods = views.half_years(spark, sf_dir)
+    wide = written(spark, views.derivative_wide(spark, sf_dir), "wide")
+    early, late = periods[: len(periods) // 2], periods[len(periods) // 2 :]
+    layouts = [["FREQ", "Series", *early], [*reversed(late), "NOTE", "Series", "202306"]]
+    long = []
+    for name in DERIVATIVE_DATASETS:
+        path = scratch_path(spark, name)
+        own = wide.where(F.col("dataset") == name).withColumns(
+            {"NOTE": F.lit("a, b"), "202306": F.lit(1.0)}
+        )
+        for columns in layouts:
+            own.select(*columns).write.mode("append").option("header", True).csv(path)
+        long.append(wide_tables.read_wide_csv(spark, path, name).drop("position"))
+    return reduce(DataFrame.unionByName, long)
+
+
+@query
+def quarantine_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound and broken files of every source, and paths that are not there: rows
+    a series that were kept, and every reject with its reason."""
+    folder = scratch_path(spark, "landed")
+    rates = views.rate_observations(spark, sf_dir)
+    payloads = views.json_payloads(spark, sf_dir).select(
+        "series_file",
+        F.when(F.col("series_file") == "DEXJPUS", F.expr("substring(payload, 1, 40)"))
+        .otherwise(F.col("payload"))
+        .alias("value"),
+    )
+    payloads.write.partitionBy("series_file").text(f"{folder}/json")
+    for series, value in (("DGS2", "OBS_VALUE"), ("DGS10", "OBSERVATION")):
+        rates.where(F.col("series_id") == series).select(
+            "series_file", F.col("date").cast("string").alias("TIME_PERIOD"), F.col("value").alias(value)
+        ).write.partitionBy("series_file").mode("append").option("header", True).csv(f"{folder}/sdmx")
+    archives = views.nation_archives(spark, sf_dir).withColumn(
+        "content",
+        F.when(F.col("series_file") == "NATION_7", F.expr("substring(content, 1, length(content) - 30)"))
+        .otherwise(F.col("content")),
+    )
+    views.landed_files(archives, f"{folder}/zip", ".zip")
+    observations, rejected = landed_observations(
+        spark,
+        json_path=f"{folder}/json",
+        sdmx_paths=[f"{folder}/sdmx", f"{folder}/gone"],
+        archive_path=f"{folder}/zip",
+    )
+    kept = observations.groupBy("series_file").agg(F.count("*").alias("n"), F.lit("kept").alias("state"))
+    named = rejected.select(
+        F.regexp_extract("series_file", "[^/]*$", 0).alias("series_file"),
+        F.lit(0).cast("bigint").alias("n"),
+        F.split("reason", ":")[0].alias("state"),
+    )
+    return kept.unionByName(named)
+
+
 @query
 def ingest_zip_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     expanded = wide_tables.expand_archives(views.nation_archives(spark, sf_dir))

@@ -216,6 +216,48 @@ def nation_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_files(files: DataFrame, folder: str, suffix: str) -> None:
+    """Write ``(series_file, content)`` as one file each."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas
+        import pyarrow.fs
+
+        store, root = pyarrow.fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["series_file"], batch["content"]):
+                with store.open_output_stream(f"{root}/{name}{suffix}", compression=None) as file:
+                    file.write(bytes(content))
+            yield pandas.DataFrame({"n": [len(batch)]})
+
+    files.select("series_file", "content").mapInPandas(write, "n LONG").count()
+
+
+def landed_layouts(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The raw observations as CSVs of four layouts in one directory; that of
+    FEDFUNDS has no values."""
+    raw = raw_observations(spark, sf_dir).repartitionByRange("series_file", "position")
+    raw = raw.sortWithinPartitions("series_file", "position")
+    layouts = {
+        ("DGS1MO", "DGS2"): ["date", "value", "series_id"],
+        ("DGS10",): ["series_id", "note", "value", "date"],
+        ("ECB_DEPOSIT_RATE",): ["value", "date", "status", "series_id", "note"],
+        ("FEDFUNDS",): ["date", "series_id", "note"],
+    }
+    for names, columns in layouts.items():
+        (
+            raw.where(F.col("series_file").isin(*names))
+            .withColumns({"note": F.lit('a, "b"'), "status": F.lit("A")})
+            .select("series_file", *columns)
+            .write.partitionBy("series_file")
+            .mode("append")
+            .option("header", True)
+            .option("escape", '"')
+            .csv(folder)
+        )
+
+
 def segment_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One yield curve per market segment."""
     quotes = (
