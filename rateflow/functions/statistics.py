@@ -14,8 +14,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def paired_count(x: Column, y: Column) -> Column:
-    """Rows on which both sides are present."""
-    return F.count(F.when(x.isNotNull() & y.isNotNull(), 1))
+    """Rows on which both sides are present; NaN is not."""
+    return F.count(F.when(nan_to_null(x).isNotNull() & nan_to_null(y).isNotNull(), 1))
 
 
 def pearson(x: Column, y: Column) -> Column:

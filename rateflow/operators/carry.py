@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rateflow.functions.coercion import nan_to_null
 from rateflow.operators.years import GROUP, in_year, join_summary, over_years, with_year
 
 
@@ -60,11 +61,12 @@ def own_date_changes(
 ) -> DataFrame:
     """Add ``columns[c]``: difference to ``c``'s own previous observation.
 
-    NULL where ``c`` itself is NULL, however many rows lie in between.
+    NULL where ``c`` itself is NULL, however many rows lie in between, and
+    between two equal infinities.
     """
     known = last_known(
         df, order, {c: f"_before_{c}" for c in columns}, include_current=False, keys=keys
     )
     return known.withColumns(
-        {name: F.col(c) - F.col(f"_before_{c}") for c, name in columns.items()}
+        {name: nan_to_null(F.col(c) - F.col(f"_before_{c}")) for c, name in columns.items()}
     ).drop(*[f"_before_{c}" for c in columns])

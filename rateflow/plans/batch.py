@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.plans.clean import clean_observations, deduplicated, parse_observations, rejected_files
-from rateflow.plans.pipeline import build_all
+from rateflow.plans.pipeline import build_all, replace_all
 from rateflow.schemas import PARSED_OBSERVATIONS, REJECTED_FILES
 from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
 
@@ -63,13 +63,18 @@ def run_from_payloads(
     work_path: str,
     database: str,
     buckets: int = 8,
+    versioned: bool = False,
     **sources: object,
 ) -> None:
-    """Payloads to tables; ``sources`` as for ``landed_observations``."""
+    """Payloads to tables; ``sources`` as for ``landed_observations``.
+
+    ``versioned`` builds beside the tables there are and replaces them in one
+    step (``replace_all``); else they are overwritten one by one.
+    """
     observations, rejected = landed_observations(spark, **sources)
     rejected.write.mode("overwrite").parquet(f"{work_path}/rejected")
     tables.write_observations(deduplicated(observations), f"{work_path}/processed")
-    build_all(
+    (replace_all if versioned else build_all)(
         spark,
         tables.read_observations(spark, f"{work_path}/processed"),
         database,
@@ -78,7 +83,12 @@ def run_from_payloads(
 
 
 def run_from_raw_csv(
-    spark: SparkSession, raw_path: str, work_path: str, database: str, buckets: int = 8
+    spark: SparkSession,
+    raw_path: str,
+    work_path: str,
+    database: str,
+    buckets: int = 8,
+    versioned: bool = False,
 ) -> None:
     """Raw CSVs to tables. A file left without rows keeps its dimension row."""
     landed = raw_csv.land_raw_csv(spark, raw_path)
@@ -87,7 +97,7 @@ def run_from_raw_csv(
     rejected = spark.read.schema(REJECTED_FILES).parquet(f"{work_path}/rejected")
     tables.write_observations(clean_observations(raw, rejected), f"{work_path}/processed")
     files = raw_csv.list_raw_csv(spark, raw_path).join(rejected, "series_file", "left_anti")
-    build_all(
+    (replace_all if versioned else build_all)(
         spark,
         tables.read_observations(spark, f"{work_path}/processed"),
         database,

@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rateflow.operators.quality import table_failures
 from rateflow.plans import marts, staging
 from rateflow.plans.star import star_schema
+from rateflow.sources import versions
 from rateflow.sources.tables import save_bucketed, save_table
 
 STAR_TABLES = ["dim_date", "dim_series", "dim_geography", "fact_market_rates", "fact_derivatives"]
@@ -69,6 +71,35 @@ def build_all(
     save_table(data_tests({**staged, **built}), f"{database}.data_tests")
 
 
+class DataTestsFailed(RuntimeError):
+    """A build whose declared tests found rows; it was not published."""
+
+
+def replace_all(
+    spark: SparkSession,
+    observations: DataFrame,
+    name: str,
+    series_files: DataFrame | None = None,
+    buckets: int = 8,
+    keep: int = 2,
+) -> str:
+    """``build_all`` as a new version of the database ``name``, which becomes the
+    current one in one step when all is built and every data test has passed.
+
+    Until then, and if anything fails, readers see the old version whole. Returns
+    the version's database.
+    """
+    versions.create(spark, name)
+    database = versions.open_version(spark, name)
+    build_all(spark, observations, database, series_files, buckets)
+    failed = spark.table(f"{database}.data_tests").where(F.col("failures") > 0)
+    found = [f"{r['table_name']}.{r['column_name']} {r['test']}: {r['failures']}" for r in failed.collect()]
+    if found:
+        raise DataTestsFailed("; ".join(found))
+    versions.publish(spark, name, database, keep)
+    return database
+
+
 def data_tests(models: dict[str, DataFrame]) -> DataFrame:
     """Failure counts of every declared uniqueness and not-null test."""
     results = [

@@ -5,6 +5,7 @@ file (the first line of the block that starts at byte 0) is gathered into an
 index first, and every line looks up the places of the named columns in its own
 file's heading. Headings may be reordered, extended or cut; a file that lacks a
 column is set aside by itself. A cell holds no line break, so files are split.
+Spark's readers do not show files of no bytes; they have nothing and are not listed.
 
 The index costs one pass over the raw lines, which are not parsed for it.
 """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rateflow import catalog
 from rateflow.functions.coercion import nan_to_null
 from rateflow.schemas import OBSERVATIONS
+from rateflow.sources import versions
 
 
 def write_observations(observations: DataFrame, path: str) -> None:
@@ -27,6 +28,42 @@ def write_observations(observations: DataFrame, path: str) -> None:
     )
 
 
+def save_series(observations: DataFrame, path: str) -> None:
+    """Replace the series files in ``observations``; others stay as they are.
+
+    One directory a series file. Only the directories of the files given are
+    overwritten, when all their data are written; theirs is a range of tasks, so
+    a file may be large. Rows inside are sorted, so that row groups are skipped by
+    series and date as in ``write_observations``. A directory of that flat layout
+    is refused. A file without rows is not touched.
+    """
+    spark = observations.sparkSession
+    if _layout(spark, path) == "flat":
+        raise ValueError(f"{path}: not a directory of series, written as a whole")
+    order = ["series_file", "series_id", "date"]
+    (
+        observations.select(OBSERVATIONS.names)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.partitionBy("series_file")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
+
+
+def _layout(spark: SparkSession, path: str) -> str | None:
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if "series_file" in files.columns:
+        return "series"
+    return None if files.select("path").isEmpty() else "flat"
+
+
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """All cleaned series; a missing directory is an empty frame."""
     try:
@@ -35,7 +72,7 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], OBSERVATIONS)
-    return scan.withColumn("value", nan_to_null(F.col("value")))
+    return scan.withColumn("value", nan_to_null(F.col("value"))).select(OBSERVATIONS.names)
 
 
 def select_observations(
@@ -81,7 +118,11 @@ def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, sort_key: st
 
 
 def read_mart(spark: SparkSession, name: str, columns: list[str], order_by: list[str]) -> DataFrame:
-    """Named columns of a mart, ordered; a clear error where it is not built."""
+    """Named columns of a mart, ordered; a clear error where it is not built.
+
+    ``name`` may be one in a database of versions: that of its current one.
+    """
+    name = versions.resolved(spark, name)
     if not spark.catalog.tableExists(name):
         raise FileNotFoundError(f"table {name} not found: build the marts first")
     return spark.table(name).select(*columns).orderBy(*order_by)

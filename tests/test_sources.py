@@ -92,7 +92,8 @@ def test_headings_of_every_layout_in_one_directory(spark, rows, day, tmp_path):
         "SHORT": "date,value,series_id\n2024-01-01,8.0\n",
         "NO_ID": "date,value\n2024-01-01,9.0\n",
         "NO_ROWS": "series_id,value,date\n",
-        "EMPTY": "",
+        "EMPTY": " \n\n",
+        "NOTHING": "",
         "RAGGED": "date,value,series_id\n2024-01-01,1.0,RAGGED\n2024-01-02,1.0,RAGGED,9\n",
     }.items():
         (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")

@@ -231,6 +231,10 @@ QUERIES: dict[str, str] = {
     "processed_round_trip": f"""
         SELECT series_id AS series_file, series_id, date, value FROM market_obs
         UNION ALL {_DERIV.format('dataset')}""",
+    "processed_partial_save": """
+        SELECT series_id AS series_file, series_id, date,
+            CASE WHEN series_id IN ('DGS10', 'DEXBZUS') THEN value * 2 ELSE value END AS value
+        FROM market_obs""",
     "scan_range_filter": """
         SELECT series_id AS series_file, series_id, date, value FROM market_obs
         WHERE series_id IN ('DGS10', 'DEXBZUS', 'FEDFUNDS')
@@ -344,6 +348,7 @@ QUERIES: dict[str, str] = {
         FROM (SELECT key FROM flawed WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1)
         UNION ALL SELECT 'lineitem', 'key', 'not_null', count(*) FROM flawed WHERE key IS NULL
         UNION ALL SELECT 'lineitem', 'quantity', 'not_null', count(*) FROM flawed WHERE quantity IS NULL""",
+    "replaced_database": "SELECT series_id, rate_date, spot_rate, daily_return, change_1m FROM fx_mart",
     "saved_fx_mart": "SELECT series_id, rate_date, spot_rate, daily_return, change_1m FROM fx_mart",
     "saved_staging_view": "SELECT * FROM stg_yield",
     "saved_data_tests": _data_tests(),

@@ -18,7 +18,7 @@ from rateflow.plans import clean, marts, pipeline, reports, star
 from rateflow.plans.batch import landed_observations
 from rateflow.plans.named_queries import run_named
 from rateflow.session import scratch_path
-from rateflow.sources import json_payloads, raw_csv, tables, wide_tables
+from rateflow.sources import json_payloads, raw_csv, tables, versions, wide_tables
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,6 +180,17 @@ def processed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_observations(spark, path)
 
 
+@query
+def processed_partial_save(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All series saved, then two of them again with other values."""
+    path = scratch_path(spark, "series")
+    observations = market(spark, sf_dir)
+    tables.save_series(observations, path)
+    again = observations.where(F.col("series_id").isin("DGS10", "DEXBZUS"))
+    tables.save_series(again.withColumn("value", F.col("value") * 2), path)
+    return tables.read_observations(spark, path)
+
+
 @query
 def scan_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "processed")
@@ -436,6 +447,22 @@ def saved_fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_mart(spark, name, columns, ["series_id", "rate_date"])
 
 
+@query
+def replaced_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart that readers see when a second build has failed its tests."""
+    name = f"rateflow_{uuid.uuid4().hex}"
+    versions.create(spark, name, scratch_path(spark, name))
+    observations = market(spark, sf_dir)
+    pipeline.replace_all(spark, observations, name)
+    twice = observations.unionByName(observations.withColumn("value", F.col("value") + 1))
+    try:
+        pipeline.replace_all(spark, twice, name)
+    except pipeline.DataTestsFailed:
+        pass
+    columns = ["series_id", "rate_date", "spot_rate", "daily_return", "change_1m"]
+    return tables.read_mart(spark, f"{name}.{FX}", columns, ["series_id", "rate_date"])
+
+
 @query
 def saved_staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staging view of the saved database."""
