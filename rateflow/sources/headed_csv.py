@@ -68,8 +68,8 @@ class HeadedCsv:
         return self.headings.where(F.size(F.array_except(wanted, "heading")) == 0)
 
 
-def read_headed_csv(spark: SparkSession, path: str, **options: str) -> HeadedCsv | None:
-    """The CSVs of a directory; None where there is no such path.
+def read_headed_csv(spark: SparkSession, path: str | list[str], **options: str) -> HeadedCsv | None:
+    """The CSVs of a directory or list of files; None where there is no such path.
 
     The series file is the file stem, or the ``series_file=`` directory.
     """

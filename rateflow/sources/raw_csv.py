@@ -24,10 +24,10 @@ class Landed:
     rejected: DataFrame
 
 
-def land_raw_csv(spark: SparkSession, path: str) -> Landed:
+def land_raw_csv(spark: SparkSession, path: str | list[str], **options: str) -> Landed:
     """All ``<stem>.csv`` files of a directory, whatever else their headings hold
     and in whatever order. A missing directory is an empty frame and listed."""
-    return _land(spark, path, pathGlobFilter="*.csv")
+    return _land(spark, path, pathGlobFilter="*.csv", **options)
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -35,10 +35,10 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return land_raw_csv(spark, path).rows
 
 
-def _land(spark: SparkSession, path: str, **options: str) -> Landed:
+def _land(spark: SparkSession, path: str | list[str], **options: str) -> Landed:
     found = read_headed_csv(spark, path, **options)
     if found is None:
-        missing = spark.createDataFrame([(path, "missing")], REJECTED_FILES)
+        missing = spark.createDataFrame([(str(path), "missing")], REJECTED_FILES)
         return Landed(spark.createDataFrame([], RAW_OBSERVATIONS), missing)
     rows = found.pick(_RAW_COLUMNS).select(*RAW_OBSERVATIONS.names, "malformed")
     return Landed(rows, found.rejected(_RAW_COLUMNS))

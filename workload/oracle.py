@@ -228,6 +228,7 @@ QUERIES: dict[str, str] = {
     "ingest_json_observations": "SELECT series_id AS series_file, series_id, date, value FROM market_obs",
     "ingest_sdmx_csv": "SELECT series_id AS series_file, series_id, date, value FROM rate_obs",
     "raw_csv_round_trip": "SELECT * FROM cleaned",
+    "incremental_clean": "SELECT * FROM cleaned",
     "processed_round_trip": f"""
         SELECT series_id AS series_file, series_id, date, value FROM market_obs
         UNION ALL {_DERIV.format('dataset')}""",

@@ -19,6 +19,7 @@ from rateflow.plans.batch import landed_observations
 from rateflow.plans.named_queries import run_named
 from rateflow.session import scratch_path
 from rateflow.sources import json_payloads, raw_csv, tables, versions, wide_tables
+from rateflow.streaming import incremental
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +174,20 @@ def raw_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_observations(raw_csv.read_partitioned_raw_csv(spark, path))
 
 
+@query
+def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSVs that land in three runs, out of order, cleaned run by run."""
+    staged_path, path, state = (scratch_path(spark, n) for n in ("staged", "landing", "state"))
+    raw = views.raw_observations(spark, sf_dir).repartitionByRange(6, "position")
+    raw.sortWithinPartitions("position").select("series_file", "date", "value", "series_id").write.partitionBy(
+        "series_file"
+    ).option("header", True).csv(staged_path)
+    for nth in (2, 0, 1):
+        views.land_parts(spark, staged_path, path, nth, of=3)
+        incremental.clean_landed(spark, path, state, buckets=8)
+    return incremental.clean_state(spark, state)
+
+
 @query
 def processed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "processed")

@@ -224,9 +224,9 @@ def landed_files(files: DataFrame, folder: str, suffix: str) -> None:
         import pyarrow.fs
 
         store, root = pyarrow.fs.FileSystem.from_uri(folder)
-        store.create_dir(root, recursive=True)
         for batch in batches:
             for name, content in zip(batch["series_file"], batch["content"]):
+                store.create_dir(f"{root}/{name}{suffix}".rpartition("/")[0], recursive=True)
                 with store.open_output_stream(f"{root}/{name}{suffix}", compression=None) as file:
                     file.write(bytes(content))
             yield pandas.DataFrame({"n": [len(batch)]})
@@ -234,6 +234,14 @@ def landed_files(files: DataFrame, folder: str, suffix: str) -> None:
     files.select("series_file", "content").mapInPandas(write, "n LONG").count()
 
 
+def land_parts(spark: SparkSession, staged: str, folder: str, nth: int, of: int) -> None:
+    """Copy every ``of``-th part file of ``series_file=`` directories to ``folder``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(staged)
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
+    name = F.concat(F.lit("series_file="), "series_file", F.lit("/"), F.col("_metadata.file_name"))
+    landed_files(files.where(part % of == nth).select(name.alias("series_file"), "content"), folder, "")
+
+
 def landed_layouts(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """The raw observations as CSVs of four layouts in one directory; that of
     FEDFUNDS has no values."""
