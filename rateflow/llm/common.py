@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -74,16 +76,41 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 SLICE_ROWS = 512
 
 
-def sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``, without copying."""
+def sliced(
+    batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, owner: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, without copying.
+
+    What an earlier operator's tasks kept in this worker is dropped first, unless
+    its ``owner`` is this one; what the rows took is given back after the last.
+    """
+    worker_cache(owner)
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-
-
-def worker_cache() -> dict:
-    """What a Python worker keeps between tasks; the caller bounds its size."""
-    return vars(sys.modules.setdefault("_rateflow_worker", types.ModuleType("_rateflow_worker")))
+    batch = None
+    release_memory()
+
+
+def worker_cache(owner: str | None) -> dict:
+    """What a Python worker keeps between the tasks of one owner; the caller
+    bounds its size. Workers outlive stages, so another owner finds it empty."""
+    module = sys.modules.setdefault("_rateflow_worker", types.ModuleType("_rateflow_worker"))
+    if getattr(module, "owner", None) != owner:
+        module.owner, module.kept = owner, {}
+        release_memory()
+    return module.kept
+
+
+def release_memory() -> None:
+    """Give memory that is free inside this process back to the machine. A worker
+    waits for its next task beside others, so what it holds on to adds up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 class Recent(dict):

@@ -29,8 +29,9 @@ from rateflow.llm.common import Recent, saved, sliced, worker_cache
 
 CAPACITY = 2048
 #: Stretches, and words without their punctuation, whose ids a Python worker
-#: keeps at most, in two generations each (some 200 bytes an entry).
-CACHED_STRETCHES, CACHED_WORDS = 150_000, 300_000
+#: keeps at most, in two generations each (some 200 bytes an entry). Fewer
+#: stretches cost time: texts have some 100,000 that come again and again.
+CACHED_STRETCHES, CACHED_WORDS = 120_000, 60_000
 _PUNCTUATION = b".,;:!?)]}%&*#$|\"-"
 # The split that keeps letters, single digits and other signs apart.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -124,12 +125,12 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = worker_cache()
+        kept = worker_cache("packing")
         if tokenizer_path not in kept:
             kept[tokenizer_path] = WordTokenizer(tokenizer_path)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        for batch in sliced(batches):
+        for batch in sliced(batches, owner="packing"):
             rows = []
             texts = ((text or "").encode() for text in batch.column("text").to_pylist())
             for doc_id, ids in zip(

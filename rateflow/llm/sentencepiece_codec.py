@@ -139,7 +139,7 @@ class SentencePieceCodec:
 
 
 def _codec(path: str) -> SentencePieceCodec:
-    kept = worker_cache()
+    kept = worker_cache("sentencepiece")
     if path not in kept:
         kept[path] = SentencePieceCodec(path)
     return kept[path]
@@ -153,7 +153,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model_path)
-        for batch in sliced(batches):
+        for batch in sliced(batches, owner="sentencepiece"):
             ids = [codec.encode(text or "") for text in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary())}
@@ -167,7 +167,7 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model_path)
-        for batch in sliced(batches):
+        for batch in sliced(batches, owner="sentencepiece"):
             texts = [codec.decode(ids or b"") for ids in batch.column("ids").to_pylist()]
             yield pa.record_batch(
                 {"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string())}
@@ -185,7 +185,7 @@ def round_trips(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model_path)
-        for batch in sliced(batches):
+        for batch in sliced(batches, owner="sentencepiece"):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             ids = [codec.encode(text) for text in texts]
             decoded = [codec.decode(i) for i in ids]
