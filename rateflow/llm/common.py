@@ -96,7 +96,7 @@ def worker_cache(owner: str | None) -> dict:
     """What a Python worker keeps between the tasks of one owner; the caller
     bounds its size. Workers outlive stages, so another owner finds it empty."""
     module = sys.modules.setdefault("_rateflow_worker", types.ModuleType("_rateflow_worker"))
-    if getattr(module, "owner", None) != owner:
+    if not hasattr(module, "kept") or module.owner != owner:
         module.owner, module.kept = owner, {}
         release_memory()
     return module.kept
