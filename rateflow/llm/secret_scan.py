@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from pathlib import Path
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -22,18 +23,28 @@ from rateflow.llm.common import BROADCAST_IDS, saved
 
 #: Bound of the labelled findings that the forest is trained on.
 TRAINING_ROWS = 20000
-TREES, DEPTH = 24, 6
-#: Values for each kind of fixed labelled finding.
-FIXED_FINDINGS = 40
+TREES, DEPTH = 60, 9
+#: Values for each kind of made-up finding.
+MADE_FINDINGS = 12
+#: Findings labelled by hand, a line each.
+HAND_LABELLED = Path(__file__).with_name("labelled_findings.txt")
 _BEFORE, _AFTER = 64, 48
 _OPEN, _CLOSE = "\u0001", "\u0002"
+_FINDING = "label INT, candidate STRING, before STRING, after STRING"
 
 # Words beside candidates.
 CREDENTIAL_WORDS = (
     r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth(?!ors?\b)|credential|private)"
 )
 DIGEST_WORDS = r"(?i)(commit|sha-?\d|md5|checksum|digest|etag|revision|uuid|guid|fingerprint)"
-PLACEHOLDER_WORDS = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|redacted|<)"
+PLACEHOLDER_WORDS = (
+    r"(?i)((?<![a-z0-9])(example|sample|dummy|placeholder|changeme\d*|your|redacted)(?![a-z0-9])|xxxx|<)"
+)
+#: What makes of a credential's name that of something else.
+OTHER_NAME = (
+    r"(?i)[_.-](id|name|type|kind|file|path|url|uri|host|label|source|count|length|size|limit"
+    r"|version|hash|hint|field|column|group|scope|expiry|ttl)[\"']?[ \t]*(:=|=>|[:=])[ \t]*[\"']?$"
+)
 NUMBER_WORDS = r"(?i)(phone|tel|fax|card|iban|isbn|account|invoice|order|id|no\.?|number)\W*$"
 
 # What a candidate is. Behind each look for a name stands a cheaper
@@ -153,12 +164,21 @@ def _features() -> dict[str, Column]:
         "consonant_runs": count("(?i)[bcdfghjklmnpqrstvwxyz]{4,}"),
         "repeats": count(r"(.)(?=\1)") / length,
         "covered": F.lit(1.0) - uncovered / length,
+        "foreign_letters": F.regexp_count(
+            F.regexp_replace(F.lower(value), f"({words})", " "), F.lit("[a-z]")
+        ).cast("double"),
+        "issued": flag(value, ISSUED_FORMS),
+        "word_number": flag(value, r"^[A-Za-z]+[-_ ]?v?[0-9]+$"),
+        "reference": flag(value, REFERENCE),
+        "digits_only": flag(value, r"^[0-9+=/_.:-]+$"),
+        "other_name": flag(before, OTHER_NAME),
         "slashes": count("/") / length,
         "in_path": flag(before, r"([/\\.]|://\S*)$"),
         "path_after": flag(after, r"^[/\\.]\w"),
         "assigned": flag(before, r"[:=]\s*[\"']?$"),
         "quoted": flag(before, r"[\"']$") * flag(after, r"^[\"']"),
         "credential_word": flag(near, CREDENTIAL_WORDS),
+        "credential_name": flag(before, CREDENTIAL_WORDS + r"[\w.-]*[\"']?\s*(:=|=>|[:=(])\s*[\"']?$"),
         "digest_word": flag(near, DIGEST_WORDS),
         "placeholder_word": flag(F.concat(near, F.lit(" "), value), PLACEHOLDER_WORDS),
         "number_word": flag(before, NUMBER_WORDS),
@@ -166,7 +186,8 @@ def _features() -> dict[str, Column]:
 
 
 def labelled_findings(found: DataFrame) -> DataFrame:
-    """Findings with a ``label``, by what is beyond doubt; others are left out.
+    """Findings with a ``label`` by rule, where none labelled by people are at hand;
+    others are left out. ``find_secrets`` does not use these.
 
     1: an issuer's form, or a mixed value assigned to a credential's name; without
     quotes it must not be a call or a reference. 0: a placeholder, a digest that is
@@ -190,14 +211,24 @@ def _rule_label() -> Column:
     )
 
 
-def fixed_findings(spark: SparkSession) -> DataFrame:
-    """Labelled findings that every input's are joined to, always the same.
-
-    Without them an input that holds credentials only, or none that are beyond
-    doubt, would leave nothing to tell the others by. Values are digests.
-    """
+def hand_labelled(spark: SparkSession) -> DataFrame:
+    """The findings that were labelled by hand."""
     rows = []
-    for i in range(FIXED_FINDINGS):
+    for line in HAND_LABELLED.read_text(encoding="utf-8").splitlines():
+        if line.startswith("#"):
+            continue
+        label, text = line.split("\t", 1)
+        before, rest = text.split("<<", 1)
+        value, after = rest.rsplit(">>", 1)
+        rows.append((int(label), value, before[-_BEFORE:], after[:_AFTER]))
+    return spark.createDataFrame(rows, _FINDING)
+
+
+def made_findings(spark: SparkSession) -> DataFrame:
+    """Labelled findings made by rule, always the same: the kinds of values that
+    many credentials, digests and numbers have. Values are digests."""
+    rows = []
+    for i in range(MADE_FINDINGS):
         digest = hashlib.sha512(b"%d" % i).digest()
         mixed = base64.b64encode(digest).decode().translate(str.maketrans("+/=", "xYz"))
         hexed, digits = digest.hex(), str(int.from_bytes(digest, "big"))
@@ -225,9 +256,7 @@ def fixed_findings(spark: SparkSession) -> DataFrame:
             (0, "get_" + name + "(" + words[0] + ")", f"{name} = ", ""),
             (0, "/".join(words) + "/v2", f"{other}=", " "),
         ]
-    return spark.createDataFrame(
-        rows, "label INT, candidate STRING, before STRING, after STRING"
-    )
+    return spark.createDataFrame(rows, _FINDING)
 
 
 def train(
@@ -282,22 +311,23 @@ def score(found: DataFrame, model: PipelineModel | None, threshold: float = 0.5)
     return scored.withColumn("is_secret", F.col("probability") >= threshold)
 
 
-def find_secrets(spark: SparkSession, docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Candidates of the documents, scored by a forest trained on the labelled ones.
+def find_secrets(
+    spark: SparkSession,
+    docs: DataFrame,
+    threshold: float = 0.5,
+    labelled: DataFrame | None = None,
+) -> DataFrame:
+    """Candidates of the documents, each decided by the forest alone.
 
-    The input's labelled findings are joined to ``fixed_findings``, so there always
-    is a forest; what is a credential beyond doubt has probability 1 whatever the
-    forest says. The candidates are written once; training and scoring read them
-    there.
+    It is trained on ``labelled (label, candidate, before, after)``: by default
+    those labelled by hand and the made ones, so what it learns does not depend
+    on the documents. The candidates are written once and scored from there.
+    Columns as ``candidates`` and ``score`` give them; an empty table has none.
     """
     found = saved(spark, candidates(docs), "candidates")
-    columns = ["candidate", "before", "after", "label"]
-    labelled = labelled_findings(found).select(columns)
-    model = train(spark, labelled.union(fixed_findings(spark).select(columns)))
-    probability = F.when(_rule_label() == 1, 1.0).otherwise(F.col("probability"))
-    return score(found, model, threshold).withColumn("probability", probability).withColumn(
-        "is_secret", F.col("probability") >= threshold
-    )
+    if labelled is None:
+        labelled = hand_labelled(spark).union(made_findings(spark))
+    return score(found, train(spark, labelled), threshold)
 
 
 def redact(

@@ -65,8 +65,13 @@ def test_one_of_each_group_stays(staged):
     assert kept == {find(i) for i in sets}
 
 
-def test_secrets_are_masked_and_no_document_goes(spark, staged):
-    docs, out = staged["secrets"]
+def test_secrets_are_masked_and_no_document_goes(spark):
+    # The smallest tables hold no secret.
+    sf_dir = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("test tables not present")
+    docs = table(spark, sf_dir, "documents")
+    out = corpus_pipeline.without_secrets(spark, docs, sf_dir)
     found = secret_scan.find_secrets(spark, docs).where("is_secret").collect()
     assert found
     before = {r["doc_id"]: r for r in docs.collect()}

@@ -4,6 +4,7 @@ import random
 import string
 
 import pytest
+from pyspark.sql import functions as F
 
 from rateflow.llm import secret_scan
 from rateflow.llm.queries import REGISTRY
@@ -145,3 +146,56 @@ def test_a_text_is_freed_of_its_own_secrets_only(spark, documents):
         ("7", "an abcd1234abcd thing"), ("7", 'token = "#"'),
         ("None", "None"), ("None", "on hunter2hunter2 street"), ("None", 'password = "#"'),
     ]
+
+
+def held_out(spark, part):
+    """Hand-labelled findings scored by a forest that has not seen them."""
+    hand = secret_scan.hand_labelled(spark)
+    own = F.pmod(F.xxhash64("candidate", "before"), F.lit(3)) == part
+    model = secret_scan.train(spark, hand.where(~own).union(secret_scan.made_findings(spark)))
+    return secret_scan.score(hand.where(own), model).collect()
+
+
+def test_forest_on_held_out_findings_labelled_by_hand(spark):
+    found = [r for part in range(3) for r in held_out(spark, part)]
+    assert len(found) == secret_scan.hand_labelled(spark).count() > 150
+    right = sum(r["is_secret"] and r["label"] == 1 for r in found)
+    assert right >= 0.8 * sum(r["label"] for r in found)
+    assert right >= 0.8 * sum(r["is_secret"] for r in found)
+
+
+@pytest.mark.parametrize(
+    ("text", "secret"),
+    [
+        ("secret: version12", False),
+        ('auth_token_name = "table_2024_v2"', False),
+        ("private_key_id: page12345", False),
+        ('token_id = "order_2023_11"', False),
+        ("api_secret_path: files/list99", False),
+        ('password = "hunter2example9x"', True),
+        ('password = "kitten77sampleQ"', True),
+        ("passwd: zebra_Lamp_81", True),
+        ('config token = "' + "0f3a9c1d7e" * 4 + '" end', True),
+        ("mail a@b.example.com of. token = \"" + "b44e15e09f" * 4 + '"', True),
+        ("revision " + "b44e15e09f" * 4 + " was good", False),
+    ],
+)
+def test_look_alikes_and_credentials(spark, documents, text, secret):
+    found = secret_scan.find_secrets(spark, documents([(1, text)])).collect()
+    assert found and any(r["is_secret"] for r in found) == secret
+
+
+def test_what_is_learned_does_not_depend_on_the_documents(spark, documents):
+    text = 'token = "abcd1234abcd"'
+    alone = secret_scan.find_secrets(spark, documents([(1, text)])).first()["probability"]
+    among = secret_scan.find_secrets(
+        spark, documents([(1, text), *((i, f'password = "pw{i}x{i}yz"') for i in range(2, 60))])
+    )
+    assert among.where("doc_id = 1").first()["probability"] == alone
+
+
+def test_a_table_without_rows(spark, documents):
+    docs = documents([]).limit(0)
+    found = secret_scan.find_secrets(spark, docs)
+    assert found.count() == 0 and "is_secret" in found.columns
+    assert secret_scan.redact(spark, docs, found).count() == 0
