@@ -158,7 +158,8 @@ def crc_remainder(doc_id: Column, divisor: int = 3) -> Column:
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, max_rows: int
 ) -> DataFrame:
-    """``(doc_id, text, label)`` of at most ``max_rows`` labelled training rows.
+    """``(doc_id, text, label)`` of at most ``max_rows`` labelled training rows,
+    one an id: where an id has several texts, the one with the smallest MD5.
 
     Rows held out (crc32 of the id, modulo 3, is 1) and rows without a label
     never enter. The choice is by hash of the id, so it does not depend on how
@@ -176,9 +177,12 @@ def training_sample(
     )
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", "label")
     # At most max_rows rows of two numbers.
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text")).select(
+        "doc_id", "text", "label"
+    )
 
 
 class WordHasher:

@@ -153,11 +153,14 @@ class Lexicon:
             if weight is not None and any(c.isalpha() for c in letters[start:end]):
                 found.append((start, end, weight))
         kept: list[tuple[int, int, float]] = []
-        at = 0
+        excused.sort()
+        # How far the exceptions reach that begin at or before the match.
+        at = reach = 0
         for start, end, weight in sorted(found, key=lambda m: (m[0], -m[1])):
-            while at < len(excused) and excused[at][1] < end:
+            while at < len(excused) and excused[at][0] <= start:
+                reach = max(reach, excused[at][1])
                 at += 1
-            if any(s <= start and end <= e for s, e in excused[at : at + 8]):
+            if end <= reach:
                 continue
             if not kept or start >= kept[-1][1]:
                 kept.append((start, end, weight))
@@ -192,7 +195,7 @@ def folded_words(text: str) -> set[str]:
 
 def folded_entries(text: str) -> set[str]:
     """The distinct words of a text, and their stems written with a hyphen."""
-    words = {word for word in folded_words(text) if len(word) < 64}
+    words = folded_words(text)
     stems = {word[:n] + "-" for word in words for n in STEM_LENGTHS if n < len(word)}
     return words | stems
 

@@ -162,3 +162,32 @@ def test_toxic_words_of_a_small_group_are_learned(spark, documents):
     )
     lexicon = toxicity.train(documents(common + rare + clean), labels)
     assert lexicon.score("zworp sagt nummer 7") > lexicon.score("somebody sagt nummer 7")
+
+
+def test_sample_is_bounded_where_an_id_repeats(spark, documents):
+    usable = [i for i in range(60) if not held_out(i)]
+    docs = documents([(usable[0], f"text {i % 100}") for i in range(5_000)] + [(i, "other") for i in usable[1:]])
+    labels = spark.createDataFrame([(i, i % 2) for i in usable], "doc_id LONG, quality INT")
+    for n in (5, 17):
+        chosen = training_sample(docs, labels, "quality", n).collect()
+        assert len(chosen) == n == len({r["doc_id"] for r in chosen})
+    whole = training_sample(docs.repartition(7), labels, "quality", 1000).collect()
+    assert sorted(whole) == sorted(training_sample(docs, labels, "quality", 1000).collect())
+
+
+def test_long_words_are_learned(spark, documents):
+    long = "grobnik" * 10
+    docs = documents([(i, f"some words {i} {long if i % 2 else 'fine'} and more") for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id LONG, toxic INT")
+    lexicon = toxicity.train(docs, labels)
+    assert any(entry.rstrip("-") == long[: len(entry.rstrip("-"))] for entry in lexicon.weights if entry.startswith("grobnik"))
+    assert lexicon.score(f"you {long} there") > lexicon.score("you fine there")
+
+
+def test_exceptions_inside_one_another(spark):
+    phrases = tuple("idiot " + "x " * n + "end" for n in range(1, 30))
+    lexicon = toxicity.Lexicon({"idiot": 5.0, "x": 1.0, "end": 1.0}, phrases + ("the idiot",))
+    assert lexicon.matches("idiot " + "x " * 29 + "end") == []
+    assert [m[:2] for m in lexicon.matches("the idiot x end of idiot x")] == [(19, 24), (25, 26)]
+    text = "x idiot x x x end x"
+    assert [m[:2] for m in lexicon.matches(text)] == [(0, 1), (18, 19)]
