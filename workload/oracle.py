@@ -320,6 +320,11 @@ QUERIES: dict[str, str] = {
     "report_correlations": f"""
         SELECT pair, basis, {_r('correlation')} AS correlation, observations,
                basis = 'change' AND observations < 5 AS low_sample FROM correlations""",
+    "correlations_all_pairs": f"""
+        SELECT left_id, right_id, observations, {_r('r')} AS correlation FROM (
+            SELECT a.series_id AS left_id, b.series_id AS right_id, count(*) AS observations,
+                CASE WHEN isfinite(corr(a.value, b.value)) THEN corr(a.value, b.value) END AS r
+            FROM rate_obs a JOIN supplier_obs b ON a.date = b.date GROUP BY 1, 2)""",
     "rates_ffill": "SELECT rate_date, " + ", ".join(
         _FILL.format(c) for c in ("usd_policy_rate", "eur_policy_rate", "usd_eur_differential"))
         + " FROM diff_mart WHERE rate_date >= CAST(DATE '2001-12-31' - INTERVAL 5 YEAR AS DATE)",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rateflow.catalog import DERIVATIVE_DATASETS
 from rateflow.functions.calendar import is_period_label, period_to_date
 from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
+from rateflow.operators.pairwise import pairwise_correlations
 from rateflow.operators.quality import table_failures, validate_series
 from rateflow.operators.windows import add_changes, full_window, over_history, simple_return
 from rateflow.plans import clean, marts, pipeline, reports, star
@@ -561,6 +562,14 @@ def report_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.with_low_sample(report), "correlation")
 
 
+@query
+def correlations_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rate against the prices of every supplier, in one pass in blocks."""
+    rates = written(spark, views.rate_observations(spark, sf_dir), "rates")
+    prices = written(spark, views.supplier_observations(spark, sf_dir), "suppliers")
+    return rounded(pairwise_correlations(rates, prices), "correlation")
+
+
 @query
 def rates_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = reports.recent_differential(
