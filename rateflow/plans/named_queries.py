@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +38,43 @@ def pair_volatility_summary(marts: Marts, as_of: Column | None = None) -> DataFr
     )
 
 
-BUSINESS_QUERIES: dict[str, Callable[[Marts, Column | None], DataFrame]] = {
-    "usd_eur_differential_5y": recent_policy_differential,
-    "fx_volatility_eur_usd_vs_usd_brl": pair_volatility,
-    "fx_volatility_eur_usd_vs_usd_brl_summary": pair_volatility_summary,
-}
+Question = Callable[[Marts, Column | None], DataFrame]
+BUSINESS_QUERIES: dict[str, Question] = {}
+
+
+def register(name: str, question: Question | str) -> None:
+    """Add a named question: a function of the marts and the day, or SQL text over
+    the marts' names as ``{name}`` and the day as ``{as_of}``.
+
+    A name is taken once, and SQL must hold more than comments: ValueError.
+    """
+    if not name or not name.strip():
+        raise ValueError("a query needs a name")
+    if name in BUSINESS_QUERIES:
+        raise ValueError(f"duplicate query name {name!r}")
+    BUSINESS_QUERIES[name] = _from_sql(name, question) if isinstance(question, str) else question
+
+
+def _from_sql(name: str, text: str) -> Question:
+    if not re.sub(r"--[^\n]*|/\*.*?\*/|[;\s]", "", text, flags=re.S):
+        raise ValueError(f"query {name!r} is empty")
+    named = set(re.findall(r"\{(\w+)\}", text)) - {"as_of"}
+    body = text.replace("{as_of}", "(SELECT day FROM {as_of})")
+
+    def question(marts: Marts, as_of: Column | None) -> DataFrame:
+        frames = {mart: marts(mart) for mart in named}
+        spark = next(iter(frames.values())).sparkSession if frames else SparkSession.active()
+        if body != text:
+            day = F.current_date() if as_of is None else as_of
+            frames["as_of"] = spark.range(1).select(day.alias("day"))
+        return spark.sql(body, **frames)
+
+    return question
+
+
+register("usd_eur_differential_5y", recent_policy_differential)
+register("fx_volatility_eur_usd_vs_usd_brl", pair_volatility)
+register("fx_volatility_eur_usd_vs_usd_brl_summary", pair_volatility_summary)
 
 
 def run_named(

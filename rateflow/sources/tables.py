@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rateflow import catalog
 from rateflow.functions.coercion import nan_to_null
 from rateflow.schemas import OBSERVATIONS
+from rateflow.session import scratch_path
 from rateflow.sources import versions
 
 
@@ -126,3 +128,43 @@ def read_mart(spark: SparkSession, name: str, columns: list[str], order_by: list
     if not spark.catalog.tableExists(name):
         raise FileNotFoundError(f"table {name} not found: build the marts first")
     return spark.table(name).select(*columns).orderBy(*order_by)
+
+
+#: The order in which each dimension is shown.
+DIMENSION_ORDER = {
+    "dim_date": ["full_date"],
+    "dim_series": ["series_id"],
+    "dim_geography": ["geography_key", "country", "region", "currency_code"],
+}
+
+
+def sorted_dimension(dimension: DataFrame, name: str) -> DataFrame:
+    """A dimension in its order, for a report; tables have none."""
+    return dimension.orderBy(*(F.col(c).asc_nulls_first() for c in DIMENSION_ORDER[name]))
+
+
+def with_place(ordered: DataFrame, place: str = "place") -> DataFrame:
+    """The rows of an ordered frame with their place in it, from 1.
+
+    Row numbers inside each partition follow on those of the partitions before;
+    no row moves. The frame is written once, as another run of the same sort may
+    cut its partitions elsewhere.
+    """
+    spark = ordered.sparkSession
+    path = scratch_path(spark, "ordered")
+    made = ordered.withColumn("_id", F.monotonically_increasing_id())
+    made.write.parquet(path)
+    numbered = spark.read.schema(made.schema).parquet(path)
+    part = F.shiftright("_id", 33)
+    counts = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    # A row a partition.
+    before = counts.select(
+        "_part",
+        (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"),
+    )
+    within = F.col("_id").bitwiseAND((1 << 33) - 1)
+    return (
+        numbered.join(F.broadcast(before), part == F.col("_part"))
+        .withColumn(place, F.col("_before") + within + 1)
+        .drop("_id", "_part", "_before")
+    )

@@ -370,6 +370,22 @@ QUERIES: dict[str, str] = {
                {_r('min(rolling_volatility_30d)')} AS min_volatility_30d,
                {_r('max(rolling_volatility_30d)')} AS max_volatility_30d
         FROM fx_mart WHERE series_id IN ('DEXUSEU', 'DEXBZUS') GROUP BY series_id""",
+    "ordered_differential_5y": """
+        SELECT *, row_number() OVER (ORDER BY rate_date) AS place FROM diff_mart
+        WHERE rate_date >= CAST(DATE '2001-12-31' - INTERVAL 5 YEAR AS DATE)""",
+    "ordered_volatility_series": """
+        SELECT series_id, rate_date, row_number() OVER (ORDER BY series_id, rate_date) AS place
+        FROM fx_mart WHERE series_id IN ('DEXUSEU', 'DEXBZUS')""",
+    "ordered_vol_outliers": """
+        SELECT rate_date, series_id, row_number() OVER (ORDER BY rate_date, series_id) AS place
+        FROM scored WHERE abs(z_score) >= 3""",
+    "ordered_dimensions": """
+        SELECT 'dim_date' AS dimension, CAST(date_key AS VARCHAR) AS key,
+            row_number() OVER (ORDER BY full_date) AS place FROM dates
+        UNION ALL SELECT 'dim_series', series_key, row_number() OVER (ORDER BY series_id) FROM series
+        UNION ALL SELECT 'dim_geography', geography_key,
+            row_number() OVER (ORDER BY geography_key, country, region, currency_code NULLS FIRST)
+        FROM (SELECT DISTINCT geography_key, country, region, currency_code FROM series)""",
     "rolling_many_series": _ROLLING.format("supplier_obs"),
     "fact_many_series": f"""
         SELECT CAST(strftime(date, '%Y%m%d') AS BIGINT) AS date_key, series_id AS series_key,

@@ -616,6 +616,44 @@ def named_volatility_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(result, "avg_volatility_30d", "min_volatility_30d", "max_volatility_30d")
 
 
+# The order of rows, as a column
+
+
+@query
+def ordered_differential_5y(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = written(spark, mart_rate_differential(spark, sf_dir), DIFFERENTIAL)
+    report = run_named(spark, "usd_eur_differential_5y", AS_OF, {DIFFERENTIAL: mart}.get)
+    return tables.with_place(report)
+
+
+@query
+def ordered_volatility_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = written(spark, fx_mart(spark, sf_dir), FX)
+    report = run_named(spark, "fx_volatility_eur_usd_vs_usd_brl", AS_OF, {FX: mart}.get)
+    return tables.with_place(report.select("series_id", "rate_date"))
+
+
+@query
+def ordered_vol_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = written(spark, fx_mart(spark, sf_dir), FX)
+    outliers = reports.volatility_report(mart).orderBy("rate_date", "series_id")
+    return tables.with_place(outliers.select("rate_date", "series_id"))
+
+
+@query
+def ordered_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    observations = written(spark, views.all_observations(spark, sf_dir), "all")
+    by_name = star.star_schema(observations)
+    keys = {"dim_date": "date_key", "dim_series": "series_key", "dim_geography": "geography_key"}
+    placed = [
+        tables.with_place(tables.sorted_dimension(by_name[name], name)).select(
+            F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key"), "place"
+        )
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, placed)
+
+
 # Windows at scale: many series, and few series cut into chunks
 
 
