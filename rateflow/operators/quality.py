@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
+from rateflow.operators.unique import repeated_keys
+
 REQUIRED_COLUMNS = ("date", "value", "series_id")
 ROWS_PER_CHUNK = 1 << 16
 
@@ -118,6 +120,27 @@ def not_null_failures(df: DataFrame, table: str, columns: list[str]) -> DataFram
     )
 
 
+def sketched_failures(
+    df: DataFrame, table: str, unique: list[str], not_null: list[str]
+) -> DataFrame:
+    """``table_failures`` for a table whose keys are hardly ever repeated: a byte
+    or two of each key is shuffled rather than the key (``repeated_keys``), at the
+    cost of a second pass over the key columns."""
+    per_column = [
+        repeated_keys(df, c)
+        .agg(F.count(F.lit(1)).alias("failures"))
+        .select(
+            F.lit(table).alias("table_name"),
+            F.lit(c).alias("column_name"),
+            F.lit("unique").alias("test"),
+            "failures",
+        )
+        for c in unique
+    ]
+    nulls = [not_null_failures(df, table, not_null)] if not_null else []
+    return reduce(DataFrame.unionByName, [*per_column, *nulls])
+
+
 def unique_failures(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """``(table_name, column_name, test, failures)``: keys seen more than once.
 

@@ -1,0 +1,44 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rateflow.operators import unique
+from rateflow.operators.quality import sketched_failures, table_failures
+
+
+@pytest.mark.parametrize("rows_a_range", [4_000_000, 700])
+def test_repeated_keys_are_those_of_a_count(spark, monkeypatch, rows_a_range):
+    monkeypatch.setattr(unique, "ROWS_A_RANGE", rows_a_range)
+    rng = random.Random(4)
+    keys = [f"K{i}" for i in range(5000)] + [f"K{rng.randrange(5000)}" for _ in range(40)] + ["HOT"] * 3000 + [None] * 50
+    rng.shuffle(keys)
+    frame = spark.createDataFrame([(k,) for k in keys], "k STRING").repartition(7)
+    found = {r["key"]: r["n"] for r in unique.repeated_keys(frame, "k").collect()}
+    counts = {k: keys.count(k) for k in set(keys) if k is not None and keys.count(k) > 1}
+    assert found == counts and found["HOT"] == 3000
+
+
+def test_doubtful_slots_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(unique, "BROADCAST_SLOTS", 0)
+    frame = spark.range(500).union(spark.range(5)).toDF("k")
+    assert unique.repeated_keys(frame, "k").count() == 5
+
+
+def test_same_failures_as_the_grouped_pass(spark):
+    frame = spark.createDataFrame(
+        [(1, "a"), (2, None), (2, "b"), (None, "c"), (None, None), (7, "d")], "k LONG, v STRING"
+    )
+    key = lambda r: tuple(map(str, r))
+    ours = sorted(map(tuple, sketched_failures(frame, "t", ["k"], ["k", "v"]).collect()), key=key)
+    assert ours == sorted(map(tuple, table_failures(frame, "t", ["k"], ["k", "v"]).collect()), key=key)
+    empty = sketched_failures(frame.limit(0), "t", ["k"], ["v"]).collect()
+    assert [r["failures"] for r in empty] == [0, 0]
+
+
+def test_slots_take_less_than_the_keys(spark):
+    keys = spark.range(200_000).select(F.concat(F.lit("SERIES_"), F.hex(F.xxhash64("id"))).alias("key"))
+    bits = 23
+    slots = keys.select(unique._slot(F.col("key"), bits).alias("slot")).toPandas()["slot"].to_numpy()
+    sent = sum(len(b.column("part")[0].as_py()) for b in unique._packed(slots, 1 << bits))
+    assert sent < 2 * len(slots) and len(set(slots)) > 0.95 * len(slots)

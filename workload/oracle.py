@@ -354,6 +354,16 @@ QUERIES: dict[str, str] = {
         FROM (SELECT key FROM flawed WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1)
         UNION ALL SELECT 'lineitem', 'key', 'not_null', count(*) FROM flawed WHERE key IS NULL
         UNION ALL SELECT 'lineitem', 'quantity', 'not_null', count(*) FROM flawed WHERE quantity IS NULL""",
+    "sketched_table_tests": """
+        WITH flawed AS (SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS key,
+                               CASE WHEN l_quantity > 5 THEN l_quantity END AS quantity FROM lineitem)
+        SELECT 'lineitem' AS table_name, 'key' AS column_name, 'unique' AS test, count(*) AS failures
+        FROM (SELECT key FROM flawed WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1)
+        UNION ALL SELECT 'lineitem', 'key', 'not_null', count(*) FROM flawed WHERE key IS NULL
+        UNION ALL SELECT 'lineitem', 'quantity', 'not_null', count(*) FROM flawed WHERE quantity IS NULL
+        UNION ALL SELECT 'orders', 'o_orderkey', 'unique', count(*)
+        FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+        UNION ALL SELECT 'orders', 'o_custkey', 'not_null', count(*) FROM orders WHERE o_custkey IS NULL""",
     "replaced_database": "SELECT series_id, rate_date, spot_rate, daily_return, change_1m FROM fx_mart",
     "saved_fx_mart": "SELECT series_id, rate_date, spot_rate, daily_return, change_1m FROM fx_mart",
     "saved_staging_view": "SELECT * FROM stg_yield",

@@ -13,7 +13,7 @@ from rateflow.catalog import DERIVATIVE_DATASETS
 from rateflow.functions.calendar import is_period_label, period_to_date
 from rateflow.functions.coercion import date_parts, missing_to_null, to_day, to_number
 from rateflow.operators.pairwise import pairwise_correlations
-from rateflow.operators.quality import table_failures, validate_series
+from rateflow.operators.quality import sketched_failures, table_failures, validate_series
 from rateflow.operators.windows import add_changes, full_window, over_history, simple_return
 from rateflow.plans import clean, marts, pipeline, reports, star
 from rateflow.plans.batch import landed_observations
@@ -713,6 +713,20 @@ def table_tests_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_failures(flawed, "lineitem", ["key"], ["key", "quantity"])
 
 
+@query
+def sketched_table_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tests with keys reduced to slots: a key that is unique in its
+    table, and one that is not."""
+    flawed = views.table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") < 7, F.col("l_orderkey")).alias("key"),
+        F.when(F.col("l_quantity") > 5, F.col("l_quantity")).alias("quantity"),
+    )
+    orders = views.table(spark, sf_dir, "orders")
+    return sketched_failures(flawed, "lineitem", ["key"], ["key", "quantity"]).unionByName(
+        sketched_failures(orders, "orders", ["o_orderkey"], ["o_custkey"])
+    )
+
+
 @query
 def changes_many_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     observations = views.supplier_observations(spark, sf_dir).drop("series_file")
