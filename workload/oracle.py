@@ -397,6 +397,7 @@ QUERIES: dict[str, str] = {
             row_number() OVER (ORDER BY geography_key, country, region, currency_code NULLS FIRST)
         FROM (SELECT DISTINCT geography_key, country, region, currency_code FROM series)""",
     "rolling_many_series": _ROLLING.format("supplier_obs"),
+    "delta_windows": _ROLLING.format("supplier_obs"),
     "fact_many_series": f"""
         SELECT CAST(strftime(date, '%Y%m%d') AS BIGINT) AS date_key, series_id AS series_key,
                'Global' AS geography_key, value, change_1d, change_1w, change_1m
