@@ -39,11 +39,7 @@ PARTS: dict[str, str] = {
         SELECT {_case('o_orderpriority', RATE_SERIES)} AS series_id,
                CAST(o_orderdate AS DATE) AS date, arg_max(o_totalprice, o_orderkey) AS value
         FROM orders GROUP BY 1, 2""",
-    "rate_obs": """
-        SELECT series_id, date, value FROM (
-            SELECT *, min(date) OVER (PARTITION BY series_id, year(date), month(date)) AS first_day
-            FROM daily_rates)
-        WHERE series_id <> 'FEDFUNDS' OR date = first_day""",
+    "rate_obs": "SELECT * FROM daily_rates",
     "market_obs": "SELECT * FROM fx_obs UNION ALL SELECT * FROM rate_obs",
     "deriv_periods": f"""
         SELECT CASE WHEN n_regionkey <= 1 THEN 'BIS_OTC_DERIV' ELSE 'BIS_FX_TURNOVER' END AS dataset,
@@ -408,18 +404,31 @@ QUERIES: dict[str, str] = {
 }
 
 
+# The Fed Funds rate on the first day of each month only, for these alone.
+MONTHLY_RATES = """
+    SELECT series_id, date, value FROM (
+        SELECT *, min(date) OVER (PARTITION BY series_id, year(date), month(date)) AS first_day
+        FROM daily_rates)
+    WHERE series_id <> 'FEDFUNDS' OR date = first_day"""
+MONTHLY = {"rate_fx_joined", "report_correlations", "rates_ffill", "rate_fx_ffill", "headline"}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_parts(text) for name, text in QUERIES.items()}
+    monthly = {**PARTS, "rate_obs": MONTHLY_RATES}
+    return {
+        name: _with_parts(text, monthly if name in MONTHLY else PARTS)
+        for name, text in QUERIES.items()
+    }
 
 
-def _with_parts(text: str) -> str:
+def _with_parts(text: str, parts_by_name: dict[str, str]) -> str:
     """Prepend the parts a query mentions, in the order they are defined."""
     needed: set[str] = set()
     todo = [text]
     while todo:
         words = set(re.findall(r"(?:FROM|JOIN)\s+(\w+)", todo.pop()))
-        for name in words & (PARTS.keys() - needed):
+        for name in words & (parts_by_name.keys() - needed):
             needed.add(name)
-            todo.append(PARTS[name])
-    parts = ", ".join(f"{name} AS ({PARTS[name]})" for name in PARTS if name in needed)
+            todo.append(parts_by_name[name])
+    parts = ", ".join(f"{name} AS ({parts_by_name[name]})" for name in parts_by_name if name in needed)
     return f"WITH {parts} {text}" if parts else text

@@ -53,13 +53,13 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(spark, views.market_observations(spark, sf_dir), "market")
+def market(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
+    return written(spark, views.market_observations(spark, sf_dir, monthly), "market")
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star_tables(spark: SparkSession, sf_dir: str, monthly: bool = False) -> dict[str, DataFrame]:
     """The star over market series only, written: what staging and marts are built on."""
-    tables_by_name = star.star_schema(market(spark, sf_dir))
+    tables_by_name = star.star_schema(market(spark, sf_dir, monthly))
     return {
         name: written(spark, tables_by_name[name], name)
         for name in ("dim_date", "dim_series", "fact_market_rates")
@@ -70,13 +70,15 @@ def market_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.star_schema(market(spark, sf_dir))["fact_market_rates"]
 
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return pipeline.staging_models(star_tables(spark, sf_dir))
+def staged(spark: SparkSession, sf_dir: str, monthly: bool = False) -> dict[str, DataFrame]:
+    return pipeline.staging_models(star_tables(spark, sf_dir, monthly))
 
 
-def mart_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+def mart_tables(
+    spark: SparkSession, sf_dir: str, *names: str, monthly: bool = False
+) -> list[DataFrame]:
     """The named marts, written: reports read them, some several times."""
-    models = pipeline.mart_models(staged(spark, sf_dir))
+    models = pipeline.mart_models(staged(spark, sf_dir, monthly))
     return [written(spark, models[name], name) for name in names]
 
 
@@ -89,7 +91,7 @@ def fx_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def joined_rate_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = pipeline.mart_models(staged(spark, sf_dir))
+    models = pipeline.mart_models(staged(spark, sf_dir, monthly=True))
     return reports.rate_fx(models[DIFFERENTIAL], models[FX])
 
 
@@ -574,7 +576,7 @@ def correlations_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rates_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = reports.recent_differential(
-        *mart_tables(spark, sf_dir, DIFFERENTIAL), F.lit(AS_OF).cast("date")
+        *mart_tables(spark, sf_dir, DIFFERENTIAL, monthly=True), F.lit(AS_OF).cast("date")
     )
     return reports.filled_policy_rates(recent)
 
@@ -588,7 +590,8 @@ def rate_fx_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         reports.headline(
-            *mart_tables(spark, sf_dir, DIFFERENTIAL, CURVE, FX), F.lit(AS_OF).cast("date")
+            *mart_tables(spark, sf_dir, DIFFERENTIAL, CURVE, FX, monthly=True),
+            F.lit(AS_OF).cast("date"),
         ),
         "usdbrl_level_correlation",
     )

@@ -67,8 +67,9 @@ def supplier_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yields and policy rates; the Fed Funds rate only once a month."""
+def rate_observations(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
+    """Yields and policy rates. ``monthly`` leaves the Fed Funds rate its first day
+    of each month: what correlations over a series' own dates and fills are about."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderpriority",
         F.col("o_orderdate").cast("date").alias("date"),
@@ -76,16 +77,19 @@ def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("position"),
     )
     daily = keep_last(orders, ["o_orderpriority", "date"], "value", F.col("position"))
-    monthly = F.col("o_orderpriority") == "4-NOT SPECIFIED"
-    period = F.when(monthly, F.trunc("date", "month")).otherwise(F.col("date"))
+    names = renamed(F.col("o_orderpriority"), RATE_SERIES)
+    if not monthly:
+        return _as_files(daily, names)
+    sparse = F.col("o_orderpriority") == "4-NOT SPECIFIED"
+    period = F.when(sparse, F.trunc("date", "month")).otherwise(F.col("date"))
     first = daily.groupBy("o_orderpriority", period.alias("period")).agg(
         F.min("date").alias("date"), F.min_by("value", "date").alias("value")
     )
-    return _as_files(first, renamed(F.col("o_orderpriority"), RATE_SERIES))
+    return _as_files(first, names)
 
 
-def market_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx_observations(spark, sf_dir).unionByName(rate_observations(spark, sf_dir))
+def market_observations(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
+    return fx_observations(spark, sf_dir).unionByName(rate_observations(spark, sf_dir, monthly))
 
 
 def derivative_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
