@@ -38,7 +38,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' pieces, placed in sequences of at most 2048 tokens."""
-    pieces = packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"))
+    # Smaller caches than packing alone takes: workers of other stages wait beside.
+    pieces = packing.token_pieces(
+        docs, tokenizer_file("word_bpe_49k.json"), cached=(120_000, 60_000)
+    )
     return packing.pack(spark, pieces)
 
 

@@ -29,9 +29,9 @@ from rateflow.llm.common import Recent, saved, sliced, worker_cache
 
 CAPACITY = 2048
 #: Stretches, and words without their punctuation, whose ids a Python worker
-#: keeps at most, in two generations each (some 200 bytes an entry). Fewer
-#: stretches cost time: texts have some 100,000 that come again and again.
-CACHED_STRETCHES, CACHED_WORDS = 120_000, 60_000
+#: keeps at most, in two generations each (some 200 bytes an entry). Fewer take
+#: less memory and more time, and give the same ids.
+CACHED = (150_000, 300_000)
 _PUNCTUATION = b".,;:!?)]}%&*#$|\"-"
 # The split that keeps letters, single digits and other signs apart.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -49,14 +49,14 @@ class WordTokenizer:
     them, and what was met lately is kept. Any other encodes whole texts.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: tuple[int, int] = CACHED) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._by_word = _works_by_word(self._tokenizer)
-        self._stretches = Recent(CACHED_STRETCHES, self._stretch)
-        self._words = Recent(CACHED_WORDS, self._word)
+        self._stretches = Recent(cached[0], self._stretch)
+        self._words = Recent(cached[1], self._word)
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         for text in texts:
@@ -114,27 +114,31 @@ def token_pieces(
     capacity: int = CAPACITY,
     end_id: int = 0,
     with_ids: bool = False,
+    cached: tuple[int, int] = CACHED,
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])`` of every document.
 
     A document is its token ids and ``end_id``; one above ``capacity`` is cut
     into pieces of it, the last one shorter. A null or empty text is ``end_id``
-    alone. Each repeated row has pieces of its own.
+    alone. Each repeated row has pieces of its own. ``cached`` bounds what a worker
+    keeps (``CACHED``).
     """
     step = 4 * capacity
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = worker_cache("packing")
-        if tokenizer_path not in kept:
-            kept[tokenizer_path] = WordTokenizer(tokenizer_path)
+        if (tokenizer_path, cached) not in kept:
+            kept.clear()
+            kept[tokenizer_path, cached] = WordTokenizer(tokenizer_path, cached)
+        tokenizer = kept[tokenizer_path, cached]
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in sliced(batches, owner="packing"):
             rows = []
             texts = ((text or "").encode() for text in batch.column("text").to_pylist())
             for doc_id, ids in zip(
-                batch.column("doc_id").to_pylist(), kept[tokenizer_path].encode(texts)
+                batch.column("doc_id").to_pylist(), tokenizer.encode(texts)
             ):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), step)):
