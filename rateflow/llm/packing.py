@@ -272,6 +272,9 @@ def pack(
 ) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``.
 
+    Null ids are an id like others, and repeated pieces have a place each; no
+    pieces make no sequence. Lengths are never null and at most ``capacity``.
+
     Pieces of one length are numbered bucket by bucket, so a length that most
     pieces have is no single task's work; the driver sees one count per length.
     """

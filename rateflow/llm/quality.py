@@ -217,7 +217,11 @@ def score_documents(docs: DataFrame, model: QualityModel, threshold: float = 0.5
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.5) -> DataFrame:
-    """The documents, with all their columns, that score at least ``threshold``."""
+    """The documents, with all their columns, that score at least ``threshold``.
+
+    Null and empty texts have the model's ``default`` score; repeated rows are
+    judged alike, row by row, and null ids are no matter. An empty table stays so.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -362,7 +362,11 @@ def find_spans(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 
 def keep_civil(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
-    """The documents, with all their columns, that score below ``threshold``."""
+    """The documents, with all their columns, that score below ``threshold``.
+
+    Null and empty texts score as a text without a match and stay; repeated rows
+    are judged alike, and null ids are no matter. An empty table stays so.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,3 +102,29 @@ def test_a_table_without_rows(spark, sf_dir, tmp_path):
         table(spark, sf_dir, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert os.path.isdir(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_go_through_all_stages(spark, sf_dir, tmp_path):
+    docs = table(spark, sf_dir, "documents")
+    some = docs.where("text IS NOT NULL").orderBy("doc_id").limit(40).collect()
+    odd = [
+        (None, None, None, None, None), (None, "", "en", "s", 0), (900001, None, "en", None, None),
+        (900002, "", None, "s", 0), (900002, "", None, "s", 0), (900003, " \n ", "en", "s", 3),
+        (None, some[0]["text"], "en", "s", 1), (900004, "word " * 60_000, "en", "s", 300_000),
+        (some[1]["doc_id"], some[1]["text"], "en", "s", 1),
+    ]
+    rows_ = [tuple(r) for r in some] + odd
+    extra = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, score DOUBLE, label INT, rep LONG, piece INT"
+    spark.createDataFrame([(*r, 0.5, 1, 7, 3) for r in rows_], extra).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, sf_dir, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = saved(spark, stage(spark, docs, str(tmp_path)), name)
+        assert out.columns == docs.columns
+        assert out.count() <= docs.count()
+        docs = out
+    ids = [r["doc_id"] for r in docs.collect()]
+    assert ids.count(some[1]["doc_id"]) <= 1
+    packed = corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in packed} == set(ids)
+    assert sum(r["piece"] == 0 for r in packed) == len(ids)
