@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -34,12 +37,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """Fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is used only where that is unset *and* the master is
-    local, as in tests: executors on other machines could not read it.
+    local, as in tests: executors on other machines could not read it. It is
+    removed when the process ends; the shared folder is the cluster's to clean.
     """
     unique = f"{label}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{unique}"
     if spark.conf.get("spark.master", "").startswith("local"):
-        return f"{tempfile.mkdtemp(prefix='rateflow-')}/{unique}"
+        return f"{_local_folder()}/{unique}"
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+@functools.cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="rateflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
