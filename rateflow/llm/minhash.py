@@ -8,11 +8,11 @@ hash values. The steps:
    compared with the smallest class under its keys. This joins the bulk of a large
    group of near copies with one link a member.
 3. Clusters: the classes that share their smallest class of step 2, whether they
-   link with it or not. Those that ended in another component than that class are
-   compared with the whole cluster, block against block inside tasks; of a class's
-   links one to each component comes out.
-4. Inverted lists: of a sketch's values, rarest first, only the prefix is listed
-   that two sketches over the threshold cannot both miss. Lists pair classes of
+   link with it or not. Those that ended in another component than that class meet
+   the whole cluster, block against block inside tasks, through inverted lists of
+   the block's sketches; of a class's links one to each component comes out.
+4. Lists over all classes: of a sketch's values, rarest first, only the prefix is
+   listed that two sketches over the threshold cannot both miss. They pair classes of
    *different* components and clusters; inside either nothing is left to find.
 
 Pairs pass an estimate from the union's sketch, then exact Jaccard on the words of
@@ -43,8 +43,8 @@ BANDS, BAND_VALUES = 8, 2
 BAND_SET_SIZE = 4 * BANDS * BAND_VALUES
 #: Share of the union's sketch from which a class joins its smallest one's cluster.
 CLUSTER_SHARE = 0.2
-#: Shingles of a block of cluster members that meets another in one task.
-BLOCK_SHINGLES = 100_000
+#: Shingles and rows of a block of cluster members that meets another in one task.
+BLOCK_SHINGLES, BLOCK_ROWS = 100_000, 256
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH = (
     "doc_id LONG, n_shingles LONG, digest BINARY, sketch ARRAY<LONG>, bands ARRAY<LONG>"
@@ -177,7 +177,7 @@ def near_duplicates(
         "clusters",
     )
     first = connected_components(spark, found)
-    inside = _cluster_links(spark, docs, classes, clusters, first, width, percent)
+    inside = _cluster_links(spark, docs, classes, clusters, first, width, percent, size)
     found = found.union(inside)
     second = connected_components(spark, found)
     pairs = _list_pairs(spark, classes, clusters, second, size, percent)
@@ -247,6 +247,45 @@ def _band_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
     )
 
 
+class SketchLists:
+    """Inverted lists from retained values to the sketches that hold them."""
+
+    def __init__(self, sketches: list[np.ndarray], size: int, percent: int) -> None:
+        self._size, self._percent = size, percent
+        self._lengths = np.array([len(s) for s in sketches], np.int64)
+        values = np.concatenate([*sketches, np.zeros(0, np.uint64)])
+        order = np.argsort(values, kind="stable")
+        self._values = values[order]
+        self._owners = np.repeat(np.arange(len(sketches)), self._lengths)[order]
+        starts = np.cumsum(self._lengths) - self._lengths
+        self._ranks = (np.arange(len(values)) - np.repeat(starts, self._lengths))[order]
+
+    def likely(self, sketch: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+        """The ``allowed`` sketches that the sketch of the union with ``sketch``
+        does not rule out, by the rule of ``_estimated``."""
+        first = np.searchsorted(self._values, sketch, "left")
+        found = np.searchsorted(self._values, sketch, "right") - first
+        at = np.arange(found.sum()) + np.repeat(first - np.cumsum(found) + found, found)
+        own_rank = np.repeat(np.arange(len(sketch)), found)
+        use = allowed[self._owners[at]]
+        at, own_rank = at[use], own_rank[use]
+        by_owner = np.argsort(self._owners[at], kind="stable")
+        at, own_rank = at[by_owner], own_rank[by_owner]
+        owners = self._owners[at]
+        common = np.bincount(owners, minlength=len(self._lengths))
+        # A value's place in the union: those before it on either side, once each.
+        before = np.arange(len(owners)) - (np.cumsum(common) - common)[owners]
+        inside = own_rank + self._ranks[at] - before < self._size
+        overlap = np.bincount(owners[inside], minlength=len(self._lengths))
+        union = len(sketch) + self._lengths - common
+        least = np.where(
+            union <= self._size,
+            union * self._percent / 100 - 1e-6,
+            least_overlap(self._size, self._percent),
+        )
+        return np.flatnonzero((common > 0) & (overlap >= least))
+
+
 def _cluster_links(
     spark: SparkSession,
     docs: DataFrame,
@@ -255,11 +294,15 @@ def _cluster_links(
     components: DataFrame,
     width: int,
     percent: int,
+    size: int,
 ) -> DataFrame:
     """``(a, b)`` links between members of one cluster in different components.
 
     A member whose component is not its hub's is a probe; probes meet all members
-    of the cluster. Both are dealt in blocks of about ``BLOCK_SHINGLES``.
+    of the cluster. Both are dealt in blocks of about ``BLOCK_SHINGLES`` shingles
+    and ``BLOCK_ROWS`` rows, whichever is less. In a task, lists of the members'
+    retained values give a probe's overlaps, the union's sketch rules most out, and
+    full sets decide the others.
     """
     at_hub = components.toDF("hub", "hub_component")
     members = saved(
@@ -272,13 +315,15 @@ def _cluster_links(
         "members",
     )
     probe = F.col("component") != F.col("hub_component")
+
+    def blocks(shingles: Column) -> Column:
+        by_rows = F.ceil(F.count(shingles) / BLOCK_ROWS)
+        return F.greatest(F.ceil(F.sum(shingles) / BLOCK_SHINGLES), by_rows).cast("int")
+
     sizes = saved(
         spark,
         members.groupBy("hub")
-        .agg(
-            F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("bases"),
-            F.ceil(F.sum(F.when(probe, F.col("n"))) / BLOCK_SHINGLES).cast("int").alias("probes"),
-        )
+        .agg(blocks(F.col("n")).alias("bases"), blocks(F.when(probe, F.col("n"))).alias("probes"))
         .where(F.col("probes") > 0),
         "sizes",
     )
@@ -297,27 +342,31 @@ def _cluster_links(
         hasher = WordHasher()
         data = [(t or "").encode().lower() for t in table.column("text").to_pylist()]
         sets = [shingle_hashes(words, width) for words in hasher.each(data)]
-        is_probe = table.column("is_probe").to_pylist()
+        is_probe = np.asarray(table.column("is_probe"))
         reps, component = (np.asarray(table.column(n)) for n in ("rep", "component"))
-        bases = [i for i, flag in enumerate(is_probe) if not flag]
-        values = np.concatenate([sets[i] for i in bases]) if bases else np.zeros(0, np.uint64)
-        lengths = np.array([len(sets[i]) for i in bases])
-        owner = np.repeat(np.arange(len(bases)), lengths)
+        bases, probes = np.flatnonzero(~is_probe), np.flatnonzero(is_probe)
+        lists = SketchLists([sets[j][:size] for j in bases], size, percent)
+        lengths = np.array([len(sets[j]) for j in bases], np.int64)
         a, b = [], []
-        for i in (i for i, flag in enumerate(is_probe) if flag):
+        for i in probes:
             own = sets[i]
+            likely = lists.likely(own[:size], component[bases] != component[i])
+            if not len(likely):
+                continue
+            values = np.concatenate([sets[j] for j in bases[likely]])
             at = np.minimum(np.searchsorted(own, values), len(own) - 1)
-            common = np.bincount(owner[own[at] == values], minlength=len(bases))
-            linked = np.flatnonzero(100 * common >= percent * (len(own) + lengths - common))
-            met = {component[i]}
-            for j in linked:
-                if component[bases[j]] not in met:
-                    mine, other = (shingles_of(data[k].split(), width) for k in (i, bases[j]))
+            owner = np.repeat(np.arange(len(likely)), lengths[likely])
+            common = np.bincount(owner[own[at] == values], minlength=len(likely))
+            linked = 100 * common >= percent * (len(own) + lengths[likely] - common)
+            met = set()
+            for j in bases[likely[linked]]:
+                if component[j] not in met:
+                    mine, other = (shingles_of(data[k].split(), width) for k in (i, j))
                     shared = len(mine & other)
                     if 100 * shared >= percent * (len(mine) + len(other) - shared):
-                        met.add(component[bases[j]])
-                        a.append(min(reps[i], reps[bases[j]]))
-                        b.append(max(reps[i], reps[bases[j]]))
+                        met.add(component[j])
+                        a.append(min(reps[i], reps[j]))
+                        b.append(max(reps[i], reps[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     both = dealt(open_.where(probe), "probes", "bases").union(dealt(open_, "bases", "probes"))

@@ -111,3 +111,46 @@ def test_connected_components(spark):
     by = {r["id"]: r["component"] for r in labels.collect()}
     assert {by[i] for i in (9, 4, 2, 7)} == {2} and by[31] == 30
     assert {by[i] for i in range(100, 161)} == {100}
+
+
+@pytest.mark.parametrize("size", [8, 64])
+def test_lists_of_a_block_estimate_as_the_union_sketch_does(size):
+    rng = np.random.default_rng(11)
+    base = [np.unique(rng.integers(0, 150, n, dtype=np.uint64)) for n in rng.integers(1, 140, 60)]
+    probes = [np.unique(rng.integers(0, 150, n, dtype=np.uint64)) for n in rng.integers(1, 140, 20)]
+    lists = minhash.SketchLists([s[:size] for s in base], size, 80)
+    least = minhash.least_overlap(size, 80)
+    for probe in [*probes, *base[:5]]:
+        a, expected = probe[:size], []
+        for j, other in enumerate(base):
+            b = other[:size]
+            both = np.union1d(a, b)
+            overlap = len(np.intersect1d(both[:size], np.intersect1d(a, b)))
+            whole = len(both) <= size
+            if j % 7 and overlap > 0 and overlap >= (len(both) * 0.8 - 1e-6 if whole else least):
+                expected.append(j)
+        assert lists.likely(a, np.arange(len(base)) % 7 > 0).tolist() == expected
+    assert minhash.SketchLists([], size, 80).likely(base[0][:size], np.zeros(0, bool)).tolist() == []
+
+
+def test_cluster_of_many_blocks(spark, documents, monkeypatch):
+    """Several components in one cluster: near each other, but not over 0.8."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
+    random.seed(21)
+    words = [f"w{i}" for i in range(400)]
+    rows, doc_id = [], 0
+    for _ in range(6):
+        own = words[:]
+        for at in random.sample(range(400), 45):
+            own[at] = f"v{random.randrange(10 ** 6)}"
+        for _ in range(30):
+            doc_id += 1
+            copy = own[:]
+            for at in random.sample(range(400), random.choice([2, 10, 18])):
+                copy[at] = f"u{random.randrange(10 ** 6)}"
+            rows.append((doc_id, " ".join(copy)))
+    random.shuffle(rows)
+    rows = [(i, text) for i, (_, text) in enumerate(rows)]
+    expected = brute(rows, 2)
+    assert 6 <= len({component for _, _, component, _ in expected}) < 100
+    assert found(minhash.near_duplicates(spark, documents(rows), 2)) == expected
