@@ -14,6 +14,14 @@ from rateflow.session import scratch_path
 from rateflow.sources import versions
 
 
+#: Row groups say which series they may hold, also where a file's ids are too many
+#: for a dictionary and its least and greatest say nothing. Sized by what they hold.
+_SERIES_FILTERS = {
+    "parquet.bloom.filter.enabled#series_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+
 def write_observations(observations: DataFrame, path: str) -> None:
     """Parquet sorted by series and date over all files.
 
@@ -26,6 +34,7 @@ def write_observations(observations: DataFrame, path: str) -> None:
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
+        .options(**_SERIES_FILTERS)
         .parquet(path)
     )
 
@@ -49,6 +58,7 @@ def save_series(observations: DataFrame, path: str) -> None:
         .sortWithinPartitions(*order)
         .write.partitionBy("series_file")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**_SERIES_FILTERS)
         .mode("overwrite")
         .parquet(path)
     )
@@ -77,6 +87,16 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return scan.withColumn("value", nan_to_null(F.col("value"))).select(OBSERVATIONS.names)
 
 
+def find_series(spark: SparkSession, path: str, series_ids: list[str]) -> DataFrame:
+    """All observations of the named series, catalogued or not.
+
+    Among many series only row groups that may hold one of them are read: by their
+    least and greatest id, their dictionary, or their Bloom filter. An unknown id has
+    no rows, and no ids are no rows.
+    """
+    return read_observations(spark, path).where(F.col("series_id").isin(series_ids))
+
+
 def select_observations(
     observations: DataFrame,
     series_ids: list[str] | None = None,

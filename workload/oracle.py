@@ -236,6 +236,9 @@ QUERIES: dict[str, str] = {
         SELECT series_id AS series_file, series_id, date, value FROM market_obs
         WHERE series_id IN ('DGS10', 'DEXBZUS', 'FEDFUNDS')
           AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""",
+    "find_one_series": """
+        SELECT series_id AS series_file, series_id, date, value FROM supplier_obs
+        WHERE series_id = '7'""",
     "ingest_wide_unpivot": _DERIV.format("dataset"),
     "ingest_wide_csv": _DERIV.format("dataset"),
     "ingest_mixed_headings": """

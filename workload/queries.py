@@ -222,6 +222,14 @@ def scan_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def find_one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series out of a directory of very many, and an id that none has."""
+    path = scratch_path(spark, "many")
+    tables.write_observations(views.supplier_observations(spark, sf_dir), path)
+    return tables.find_series(spark, path, ["7", "none"])
+
+
 @query
 def ingest_wide_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = views.derivative_wide(spark, sf_dir)
